@@ -26,20 +26,25 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, _fp, lines, begins, ends). The generator is a barrier: without it, lines would be split again for every use of the column."""
+def _split(own: DataFrame) -> DataFrame:
+    """All columns but _text, and lines, begins, ends. The generators are barriers: without them, lines would be split again for every use."""
+    rest = [c for c in own.columns if c != "_text"]
     lines = F.split(F.coalesce(F.col("_text"), F.lit("")), "\n", -1)
-    own = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    own = own.select("_key", F.xxhash64("_text").alias("_fp"), F.inline(F.array(F.struct(lines.alias("lines")))))
-    own = own.select("_key", "_fp", F.inline(F.array(F.struct(F.col("lines"), F.transform("lines", line_hash).alias("h")))))
+    own = own.select(*rest, F.inline(F.array(F.struct(lines.alias("lines")))))
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.transform("lines", line_hash).alias("h")))))
     before = F.concat(F.array(F.lit(None).cast("long")), F.slice("h", 1, F.size("h") - 1))
     rolled = F.zip_with("h", before, lambda x, y: F.pmod(x * 31 + y, F.lit(DIVISOR)) == 0)
     last = F.size("h") - 1
-    own = own.select("_key", "_fp", F.inline(F.array(F.struct(F.col("lines"), last.alias("last"), rolled.alias("rolled")))))
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), last.alias("last"), rolled.alias("rolled")))))
     at = F.filter(F.transform("rolled", lambda x, i: F.when(F.coalesce(x, F.lit(False)), i)), lambda i: i.isNotNull())
-    own = own.select("_key", "_fp", F.inline(F.array(F.struct(F.col("lines"), F.array_distinct(F.concat(at, F.array("last"))).alias("ends")))))
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.array_distinct(F.concat(at, F.array("last"))).alias("ends")))))
     begins = F.concat(F.array(F.lit(0)), F.transform(F.slice("ends", 1, F.size("ends") - 1), lambda x: x + 1))
-    return own.select("_key", "_fp", F.inline(F.array(F.struct(F.col("lines"), begins.alias("begins"), F.col("ends")))))
+    return own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), begins.alias("begins"), F.col("ends")))))
+
+
+def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
+    own = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
+    return own.select("_key", F.xxhash64("_text").alias("_fp"), "_text")
 
 
 def _text_of(begin: Column, end: Column) -> Column:
@@ -56,17 +61,14 @@ def _chunks(rows: DataFrame, *extra: str) -> DataFrame:
 
 def repeated_chunks(docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
     """(_key, _fp, drop): the numbers of the chunks to remove, for each (key, text) that has any."""
-    hashed = _chunks(_rows(docs, key, text)).select("_key", "_fp", "no", F.xxhash64("chunk").alias("h"))
-    hashed = scratch.put(hashed, "hashed")
+    source = _source(docs, key, text)
+    hashed = scratch.put(_chunks(_split(source)).select("_key", "_fp", "no", F.xxhash64("chunk").alias("h")), "hashed")
     repeated = hashed.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
     suspects = scratch.put(hashed.join(repeated, "h").groupBy("_key", "_fp").agg(F.collect_set("no").alias("suspects")), "suspects")
     scratch.drop("hashed")
-    own = docs.select(F.col(key), F.col(text).cast("string").alias(text), F.xxhash64(F.col(text).cast("string")).alias("_sfp"))
     marked = suspects.select(F.col("_key").alias("_skey"), F.col("_fp").alias("_sfp"), "suspects")
-    joined = own.join(marked, (own["_sfp"] == marked["_sfp"]) & F.equal_null(own[key], marked["_skey"])).select(own[key].alias("_key"), own[text].alias("_text"), marked["suspects"])
-    wide = _rows(joined.select(F.struct("_key", "suspects").alias("_both"), "_text"), "_both", "_text")
-    wide = wide.select(F.col("_key._key").alias("_key"), "_fp", F.col("_key.suspects").alias("suspects"), "lines", "begins", "ends")
-    texts = _chunks(wide, "suspects").where(F.array_contains("suspects", F.col("no"))).select("_key", "_fp", "no", "chunk").dropDuplicates(["_key", "_fp", "no"])
+    joined = source.join(marked, (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
+    texts = _chunks(_split(joined), "suspects").where(F.array_contains("suspects", F.col("no"))).select("_key", "_fp", "no", "chunk")
     texts = scratch.put(texts, "texts")
     scratch.drop("suspects")
     place = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("no").alias("no"))
@@ -85,19 +87,23 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     scratch = Scratch(docs.sparkSession, "lines")
     drop = repeated_chunks(docs, key, text, scratch)
-    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("_key"), F.xxhash64(F.col(text).cast("string")).alias("_fp"))
+    names = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    columns = list(names.values())
+    own = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    own = own.select(*columns, F.col(names[text]).cast("string").alias("_text"), F.xxhash64(F.col(names[text]).cast("string")).alias("_fp"))
     marked = drop.select(F.col("_key").alias("_dkey"), F.col("_fp").alias("_dfp"), "drop")
-    joined = own.join(marked, (F.col("_fp") == F.col("_dfp")) & F.equal_null("_key", "_dkey"), "left")
-    joined = joined.select(F.struct("row", "drop").alias("_both"), F.col(f"row.`{text}`").alias("_text"))
-    wide = _rows(joined, "_both", "_text").select(F.col("_key.row").alias("row"), F.coalesce("_key.drop", F.array().cast("array<int>")).alias("drop"), "lines", "begins", "ends")
+    joined = own.join(marked, (F.col("_fp") == F.col("_dfp")) & F.equal_null(names[key], "_dkey"), "left")
+    wide = _split(joined.select(*columns, "_text", F.coalesce("drop", F.array().cast("array<int>")).alias("drop")))
+    columns.append("drop")
     spans = F.transform(F.arrays_zip("begins", "ends"), lambda x, i: F.struct(x["begins"].alias("a"), x["ends"].alias("b"), i.alias("no")))
-    wide = wide.select("row", "drop", "lines", F.inline(F.array(F.struct(spans.alias("spans")))))
+    wide = wide.select(*columns, "lines", F.inline(F.array(F.struct(spans.alias("spans")))))
     kept = F.filter("spans", lambda x: ~F.array_contains("drop", x["no"]))
-    wide = wide.select("row", "drop", "lines", F.size("spans").cast("long").alias("n_chunks"), F.inline(F.array(F.struct(kept.alias("kept_spans")))))
+    wide = wide.select(*columns, "lines", F.size("spans").cast("long").alias("n_chunks"), F.inline(F.array(F.struct(kept.alias("kept_spans")))))
     kept_lines = F.aggregate("kept_spans", F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"] + 1)
     n_lines = F.size("lines").cast("long")
-    kept_text = F.when(F.size("drop") == 0, F.col(f"row.`{text}`").cast("string")).otherwise(F.array_join(F.transform("kept_spans", lambda x: _text_of(x["a"], x["b"])), "\n"))
-    return wide.select(F.col(f"row.`{key}`").alias(key), "row", n_lines.alias("n_lines"), "n_chunks", F.size("drop").cast("long").alias("n_removed"), (n_lines - kept_lines).alias("n_removed_lines"), kept_text.alias("kept"))
+    kept_text = F.when(F.size("drop") == 0, F.col(names[text]).cast("string")).otherwise(F.array_join(F.transform("kept_spans", lambda x: _text_of(x["a"], x["b"])), "\n"))
+    row = F.struct(*(F.col(n).alias(c) for c, n in names.items()))
+    return wide.select(F.col(names[key]).alias(key), row.alias("row"), n_lines.alias("n_lines"), "n_chunks", F.size("drop").cast("long").alias("n_removed"), (n_lines - kept_lines).alias("n_removed_lines"), kept_text.alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
