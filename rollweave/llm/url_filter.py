@@ -62,9 +62,7 @@ class Automaton:
             for c in g:
                 w, b = bit(at)
                 if c in "*^":
-                    loop[:, w] |= b
-                    if c == "^":
-                        loop[0x2F, w] &= ~b
+                    loop[[x for x in range(256) if c == "*" or x != 0x2F], w] |= b
                     continue
                 at += 1
                 w, b = bit(at)
