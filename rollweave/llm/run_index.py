@@ -16,28 +16,40 @@ import numpy as np
 
 
 def suffix_array(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Positions by their suffixes' first ``width`` symbols at least, by prefix doubling from as many symbols as a 62-bit key packs."""
+    """Positions by their suffixes' first ``width`` symbols at least, by prefix doubling from as many symbols as a 62-bit key packs.
+
+    A rank is the first row of its group of equals; after the first round only rows in groups of several are sorted again.
+    """
     n = len(symbols)
     if not n:
         return np.zeros(0, np.int64)
     bits = int(symbols.max() + 1).bit_length()
     size = max(1, 62 // bits)
     key = np.zeros(n, np.int64)
-    for k in range(size):
+    for k in range(min(size, n)):
         key <<= bits
-        if k < n:
-            key[: n - k] += symbols[k:] + 1
-    while True:
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], (ranked[1:] != ranked[:-1]).astype(np.int64)]))
-        if size >= width or rank[order[-1]] == n - 1:
-            return order
-        key = rank * (n + 1)
-        if size < n:
-            key[: n - size] += rank[size:] + 1
+        key[: n - k] += symbols[k:] + 1
+    order = np.argsort(key)
+    ranked, first, rank = key[order], np.ones(n, bool), np.empty(n, np.int64)
+    first[1:] = ranked[1:] != ranked[:-1]
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    while size < width:
+        rows = np.flatnonzero(~(first & np.append(first[1:], True)))
+        if not len(rows):
+            break
+        at = order[rows]
+        key = rank[at] * (n + 1)
+        ahead = at + size
+        inside = ahead < n
+        key[inside] += rank[ahead[inside]] + 1
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+        new = np.ones(len(rows), bool)
+        new[1:] = key[1:] != key[:-1]
+        order[rows], first[rows] = at, new
+        rank[at] = np.maximum.accumulate(np.where(new, rows, 0))
         size *= 2
+    return order
 
 
 @dataclass(frozen=True)

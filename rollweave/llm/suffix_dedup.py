@@ -17,6 +17,7 @@ number of partitions, which follows the count of contexts. The text itself is sh
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,27 +36,37 @@ CROWD = 256
 #: Contexts for each partition of the index step.
 CONTEXTS = 10_000
 #: Contexts for each run-length index in it, unless one key has more.
-INDEXED = 4_000
+INDEXED = 500
 #: Bytes whose anchors are looked for at once, but for longer texts.
 PIECE = 1_000_000
 
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
+_FACTORS = np.random.default_rng(20240301).integers(0, 1 << 64, GRAM.bit_length() - 1, np.uint64) | np.uint64(1)
 _PLACE = 28
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """Scrambles 64-bit values, one to one."""
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the GRAM bytes from each place on, by doubling; shorter ones at the end are cut off."""
+    """64-bit hashes of the GRAM bytes from each place on, by doubling; shorter ones at the end are cut off.
+
+    Sums of random table values times odd factors of their places, scrambled: hashes of one changed byte always differ.
+    """
     h, size = _TABLE[data], 1
-    while size < GRAM:
-        h = mix(h[:-size] * np.uint64(0x9E3779B97F4A7C15) + h[size:])
+    for factor in _FACTORS:
+        ahead = h[size:]
+        h = h[:-size] * factor
+        h += ahead
         size *= 2
-    return h
+    return mix(h)
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -147,12 +158,12 @@ def _with_text(source: DataFrame, per_text: DataFrame, how: str) -> DataFrame:
 
 
 def _contexts(source: DataFrame, examples: DataFrame, kind: str) -> DataFrame:
-    """examples: (gram, crowded, _key, _fp, place). Returns (part, _key, _fp, begin, data) with a row, or two if crowded, for each."""
+    """examples: (gram, crowded, _key, _fp, place). Returns (part, _key, _fp, begin, anchor, data) with a row, or two if crowded, for each; anchor: where the gram stands in data."""
     wanted = examples.groupBy(F.col("_key").alias("_pkey"), F.col("_fp").alias("_pfp")).agg(F.collect_list(F.struct("gram", "crowded", "place")).alias("wanted"))
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for key, fp, data, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for w in wanted:
                     p = w["place"]
@@ -162,13 +173,13 @@ def _contexts(source: DataFrame, examples: DataFrame, kind: str) -> DataFrame:
                         sides = (data[p - CUT : p] if p - CUT >= a else None, data[p + GRAM : p + GRAM + CUT] if p + GRAM + CUT <= b else None)
                         parts = [int.from_bytes(hashlib.blake2b(s + data[p : p + GRAM], digest_size=8, person=name).digest(), "big", signed=True) for s, name in zip(sides, (b"before", b"after"), strict=True) if s is not None]
                     for part in parts:
-                        for column, value in zip(out, (part, key, fp, a, data[a:b]), strict=True):
+                        for column, value in zip(out, (part, key, fp, a, p - a, data[a:b]), strict=True):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], batch_type(kind)), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], names=["part", "_key", "_fp", "begin", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], batch_type(kind)), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.binary())], names=["part", "_key", "_fp", "begin", "anchor", "data"])
 
     # Repeated rows give their contexts again, at equal places, which is no earlier.
     rows = _with_text(source, wanted, "inner").select("_key", "_fp", "_data", "wanted")
-    return rows.mapInArrow(run, f"part bigint, _key {kind}, _fp bigint, begin int, data binary")
+    return rows.mapInArrow(run, f"part bigint, _key {kind}, _fp bigint, begin int, anchor int, data binary")
 
 
 def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -191,18 +202,29 @@ def _indexed(contexts: DataFrame, kind: str) -> DataFrame:
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (batch_type(kind), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["_key", "_fp", "begin", "end"])
 
+    def sides(anchor, data):
+        yield "before", data[anchor - CUT : anchor] if anchor >= CUT else None
+        yield "after", data[anchor + GRAM : anchor + GRAM + CUT] if anchor + GRAM + CUT <= len(data) else None
+
+    def sharing(rows):
+        """The rows of one part that share CUT bytes on one side with another one; no others can share a string of LENGTH bytes."""
+        seen = Counter(s for *_, anchor, data in rows for s in sides(anchor, data) if s[1] is not None)
+        return [(key, fp, begin, data) for key, fp, begin, anchor, data in rows if any(seen[s] > 1 for s in sides(anchor, data))]
+
     def run(batches):
-        held, last = ([], [], [], []), None
+        held, rows, last = [], [], None
         for batch in batches:
             for part, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part != last and len(held[0]) >= INDEXED:
-                    yield flush(*held)
-                    held = ([], [], [], [])
-                last = part
-                for column, value in zip(held, row, strict=True):
-                    column.append(value)
-        if held[0]:
-            yield flush(*held)
+                if part != last:
+                    held += sharing(rows)
+                    rows, last = [], part
+                    if len(held) >= INDEXED:
+                        yield flush(*zip(*held, strict=True))
+                        held = []
+                rows.append(row)
+        held += sharing(rows)
+        if held:
+            yield flush(*zip(*held, strict=True))
 
     return contexts.mapInArrow(run, f"_key {kind}, _fp bigint, begin int, end int")
 
