@@ -6,10 +6,12 @@ probability 1 - 2e-7. The samples are also folded into an odd sketch, a bitmap i
 sketches has about ``BITS / 2 * (1 - exp(-4 * SAMPLES * (1 - J) / BITS))`` bits set, so its population count estimates a high similarity J
 closely. Pairs whose estimate is under 0.55 (over 4.5 standard deviations off) go; the others are confirmed on whole sets.
 
-No bucket is expanded into all its pairs. First, each bucket gives a star: its least node with all others. The confirmed links make
+No bucket is expanded into all its pairs. First, each bucket gives a star: its hub, the node that meets others most often, with all others. The confirmed links make
 components. What is left to check are pairs of one bucket in different components, so next each bucket gives only the pairs of nodes
-outside its largest component with the rest. Buckets in which more than CROWD nodes are outside (many texts with a shared passage)
-are dealt again by RARE keys of RARE_ROWS samples, at which only similar sets meet, and give those pairs. A last pass joins the components.
+outside its largest component with the rest. In buckets with more than CROWD such pairs (texts with a shared passage, or many
+edits of one text), nodes whose shingles are too rarely found in other components to link them with anything there are ruled out, which
+is exact; the others are dealt again by RARE keys of RARE_ROWS samples, and give the pairs that odd sketches of their whole sets
+don't rule out, which is exact too. A last pass joins the components.
 
 Sets are compared as 64-bit fingerprints of all their shingles, nodes are 128-bit digests of whole sets.
 """
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import operator
 import random
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +41,15 @@ SAMPLES = BANDS * ROWS
 BITS = 512
 LEAST_ESTIMATE = 0.55
 MOST_DIFFERENT = math.ceil(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - LEAST_ESTIMATE) / BITS)))
-CROWD = 64
-RARE, RARE_ROWS = 200, 8
+#: More pairs than these in a bucket are first reduced by exact bounds.
+CROWD = 200
+RARE, RARE_ROWS = 90, 6
+PARITY_WORDS = 16
 
 _M = (1 << 64) - 1
 _draw = random.Random(20240229)
 _FACTOR = np.array([_draw.getrandbits(64) | 1 for _ in range(SAMPLES)], np.uint64)
 _SHIFT = np.array([_draw.getrandbits(64) for _ in range(SAMPLES)], np.uint64)
-_RARE = [sorted(_draw.sample(range(SAMPLES), RARE_ROWS)) for _ in range(RARE)]
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [pow(0x9E3779B97F4A7C15, SHINGLE - 1 - k, 1 << 64) for k in range(SHINGLE)]
 
@@ -97,6 +102,13 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(flat.astype(np.uint8)).view(np.int64).reshape(*bits.shape[:-1], BITS // 64)
 
 
+def parity(fingerprints: np.ndarray) -> np.ndarray:
+    """An odd sketch of the whole set. Each shingle of one set alone changes one bit, so the XOR of two never has more bits set than
+    their sets have shingles apart: a pair ruled out by it isn't linked for sure."""
+    bits = (fingerprints & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(_key, _fp, n, sid, samples, odd), a row per document. samples are folded to 32 bits."""
     kind = dict(docs.dtypes)[key]
@@ -124,66 +136,105 @@ def source(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(sid, fingerprints) of the wanted nodes (sid, _at: _key and _fp of one document that has this set)."""
+    """(sid, fingerprints, parity) of the wanted nodes (sid, _at: _key and _fp of one document that has this set)."""
 
     def run(batches):
         cache = _WordHash()
         for batch in batches:
             found = [shingles(v.as_py(), cache) for v in batch[1]]
             right = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() == s for x, s in zip(found, batch[0].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["sid", "fingerprints"]).filter(pa.array(right))
+            columns = [pa.array([y.view(np.int64) for y in x], pa.list_(pa.int64())) for x in (found, map(parity, found))]
+            yield pa.RecordBatch.from_arrays([batch[0], *columns], names=["sid", "fingerprints", "parity"]).filter(pa.array(right, pa.bool_()))
 
     wanted = wanted.select("sid", F.col("_at._key").alias("_wkey"), F.col("_at._fp").alias("_wfp"))
     rows = source(docs, key, text).join(wanted, (F.col("_fp") == F.col("_wfp")) & F.equal_null("_key", "_wkey"))
-    return rows.select("sid", "_text").mapInArrow(run, "sid binary, fingerprints array<bigint>").dropDuplicates(["sid"])
+    return rows.select("sid", "_text").mapInArrow(run, "sid binary, fingerprints array<bigint>, parity array<bigint>").dropDuplicates(["sid"])
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and odd sketches don't rule out."""
     side = lambda x: nodes.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"odd{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     different = F.aggregate(F.zip_with("odda", "oddb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     return both.where(F.lit(100) * F.least("na", "nb") >= F.lit(PERCENT) * F.greatest("na", "nb")).where(different <= MOST_DIFFERENT).select("a", "b", "na", "nb")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    both = pairs.join(sets.select(F.col("sid").alias("b"), F.col("fingerprints").alias("sb")), "b").join(sets.select(F.col("sid").alias("a"), F.col("fingerprints").alias("sa")), "a")
+    both = pairs.join(sets.select(F.col("sid").alias("b"), F.col("fingerprints").alias("sb")).hint("merge"), "b").join(sets.select(F.col("sid").alias("a"), F.col("fingerprints").alias("sa")).hint("merge"), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.where(F.lit(100) * shared >= F.lit(PERCENT) * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
-    at = lambda j: F.xxhash64(F.lit(j), *(F.element_at("samples", ROWS * j + k + 1) for k in range(ROWS)))
-    return nodes.select("sid", F.explode(F.array(*(at(j) for j in range(BANDS)))).alias("key"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.slice("samples", j * ROWS + 1, ROWS)))
+    return nodes.select("sid", F.explode(keys).alias("key"))
 
 
 def _rare_keys(nodes: DataFrame) -> DataFrame:
-    at = lambda j: F.xxhash64(F.lit(-1 - j), *(F.element_at("samples", k + 1) for k in _RARE[j]))
-    return nodes.select("sid", F.explode(F.array(*(at(j) for j in range(RARE)))).alias("key"))
+    """Each of the RARE keys hashes RARE_ROWS samples, drawn by hash (so one may be drawn twice)."""
+    drawn = lambda j: F.transform(F.sequence(F.lit(1), F.lit(RARE_ROWS)), lambda k: F.element_at("samples", (F.pmod(F.xxhash64(j, k), F.lit(SAMPLES)) + 1).cast("int")))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(RARE - 1)), lambda j: F.xxhash64(-1 - j, drawn(j)))
+    return nodes.select("sid", F.explode(keys).alias("key"))
 
 
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _left_over(members: DataFrame, component: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """members: (key, sid). Rows (key, sid, comp) of the buckets with several components, and (key, main, outside): the largest one and how
-    many nodes are not in it."""
-    with_comp = members.join(component, members["sid"] == component["node"], "left").select("key", "sid", F.coalesce("root", "sid").alias("comp"))
-    mixed = with_comp.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("all")).where("x != y").select("key", "all")
-    rows = with_comp.join(mixed.select("key"), "key")
-    main = rows.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"))
-    main = main.join(mixed, "key").select("key", F.col("m.comp").alias("main"), (F.col("all") - F.col("m.n")).alias("outside"))
-    return rows, main
+def _left_over(members: DataFrame, component: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """members: (key, sid). Rows (key, sid, comp) of the buckets with several components, and (key, main, pairs): the largest one, and how many
+    pairs of nodes outside it with any node there are."""
+    with_comp = scratch.put(members.join(component.hint("merge"), members["sid"] == component["node"], "left").select("key", "sid", F.coalesce("root", "sid").alias("comp")), f"{name}-all")
+    mixed = with_comp.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
+    rows = scratch.put(with_comp.join(mixed.hint("merge"), "key"), f"{name}-rows")
+    scratch.drop(f"{name}-all")
+    main = rows.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("all"))
+    return rows, scratch.put(main.select("key", F.col("m.comp").alias("main"), ((F.col("all") - F.col("m.n")) * F.col("all")).alias("pairs")), f"{name}-main")
+
+
+def _cross_pairs(rows: DataFrame, main: DataFrame, fits: Column | None = None) -> DataFrame:
+    """The pairs of a bucket's nodes outside its main component with its nodes of other components. rows: (key, sid, comp, ...); fits: a
+    condition over the sides' further columns, named l_... and r_...."""
+    more = [c for c in rows.columns if c not in ("key", "sid", "comp")]
+    rows = rows.join(main.select("key", "main").hint("merge"), "key")
+    left = rows.where("comp != main").select("key", F.col("sid").alias("l"), F.col("comp").alias("lc"), *(F.col(c).alias(f"l_{c}") for c in more))
+    right = rows.select("key", F.col("sid").alias("r"), F.col("comp").alias("rc"), "main", *(F.col(c).alias(f"r_{c}") for c in more)).hint("merge")
+    once = (F.col("lc") != F.col("rc")) & ((F.col("rc") == F.col("main")) | (F.col("l") < F.col("r")))
+    pairs = left.join(right, (left["key"] == right["key"]) & (once if fits is None else once & fits))
+    return pairs.select(*_ordered(F.col("l"), F.col("r"))).distinct()
 
 
-def _cross_pairs(rows: DataFrame, main: DataFrame) -> DataFrame:
-    """The pairs of a bucket's nodes outside its main component with its nodes of other components."""
-    rows = rows.join(main.select("key", "main"), "key")
-    left = rows.where("comp != main").select("key", F.col("sid").alias("l"), F.col("comp").alias("lc"))
-    right = rows.select("key", F.col("sid").alias("r"), F.col("comp").alias("rc"), "main")
-    pairs = left.join(right, "key").where((F.col("lc") != F.col("rc")) & ((F.col("rc") == F.col("main")) | (F.col("l") < F.col("r"))))
-    return pairs.select(*_ordered(F.col("l"), F.col("r"))).distinct()
+def _outward(crowd: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """crowd: (sid, comp). Adds n, parity and out: how many of a node's shingles stand in another component of the crowd too. A link to another
+    component has no more than that in common."""
+    each = crowd.join(sets.hint("merge"), "sid").select("sid", "comp", F.explode("fingerprints").alias("f"))
+    shared = each.groupBy("f").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("f")
+    out = each.join(shared.hint("merge"), "f").groupBy("sid").agg(F.count("*").alias("out"))
+    crowd = crowd.join(nodes.select("sid", "n").hint("merge"), "sid").join(sets.select("sid", "parity").hint("merge"), "sid")
+    return crowd.join(out.hint("merge"), "sid")
+
+
+def _reaches(out: Column, n: Column, other: Column) -> Column:
+    """Whether ``out`` common shingles can link sets of n and other."""
+    return F.lit(100 + PERCENT) * out >= F.lit(PERCENT) * (n + other)
+
+
+def _crowd_pairs(rows: DataFrame, main: DataFrame, nodes: DataFrame, component: DataFrame, docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
+    """The pairs of the buckets that have more than CROWD. Nodes that share too little with other components to be linked even to
+    the bucket's smallest set go first; that is exact. The others meet again by rare keys."""
+    rows = scratch.put(rows.join(main.where(F.col("pairs") > CROWD).select("key").hint("merge"), "key"), "crowd-rows")
+    crowd = scratch.put(rows.select("sid", "comp").distinct(), "crowd")
+    sets = scratch.put(whole_sets(docs, key, text, nodes.select("sid", "_at").join(crowd.select("sid").hint("merge"), "sid")), "crowd-sets")
+    sized = scratch.put(_outward(crowd, sets, nodes), "sized")
+    scratch.drop("crowd-sets")
+    inside = rows.join(sized.select("sid", "n", "out").hint("merge"), "sid")
+    smallest = inside.groupBy("key").agg(F.min("n").alias("smallest"))
+    able = inside.join(smallest.hint("merge"), "key").where(_reaches(F.col("out"), F.col("n"), F.col("smallest"))).select("sid").distinct()
+    rare_rows, rare_main = _left_over(_rare_keys(nodes.join(able.hint("merge"), "sid")), component, scratch, "rare")
+    rare_rows = rare_rows.join(sized.select("sid", "n", "out", "parity").hint("merge"), "sid")
+    apart = reduce(operator.add, (F.bit_count(F.col("l_parity")[k].bitwiseXOR(F.col("r_parity")[k])) for k in range(PARITY_WORDS)))
+    near = F.lit(100 + PERCENT) * apart <= F.lit(100 - PERCENT) * (F.col("l_n") + F.col("r_n"))
+    return _cross_pairs(rare_rows, rare_main, _reaches(F.least("l_out", "r_out"), F.col("l_n"), F.col("r_n")) & near)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,31 +251,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "nodes",
     )
     buckets = _keys(nodes)
-    hubs = buckets.groupBy("key").agg(F.min("sid").alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub")
-    members = scratch.put(buckets.join(hubs, "key"), "members")
-    stars = members.where("sid != hub").select(*_ordered(F.col("hub"), F.col("sid"))).distinct()
+    shared = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    members = scratch.put(buckets.join(shared.hint("merge"), "key"), "members")
+    # The hub of a bucket is its node that meets others most often: the text from which the copies come, if it is there.
+    meets = members.groupBy("sid").agg(F.sum(F.col("m") - 1).alias("meets"))
+    hubs = members.join(meets.hint("merge"), "sid").groupBy("key").agg(F.max(F.struct("meets", "sid")).alias("hub")).select("key", F.col("hub.sid").alias("hub"))
+    stars = members.join(hubs.hint("merge"), "key").where("sid != hub").select(*_ordered(F.col("hub"), F.col("sid"))).distinct()
     first = scratch.put(_similar(stars, nodes), "first")
     links = _links(first, nodes, docs, key, text, scratch, "first")
     component = scratch.put(components(links, scratch, "stars"), "component")
 
-    rows, main = _left_over(members.select("key", "sid"), component)
-    rows, main = scratch.put(rows, "rows"), scratch.put(main, "main")
-    pairs = _cross_pairs(rows, main.where(F.col("outside") <= CROWD))
-    crowd = rows.join(main.where(F.col("outside") > CROWD).select("key"), "key").select("sid").distinct()
-    rare_rows, rare_main = _left_over(_rare_keys(nodes.join(crowd, "sid")), component)
-    pairs = pairs.unionByName(_cross_pairs(rare_rows, rare_main)).distinct()
+    rows, main = _left_over(members.select("key", "sid"), component, scratch, "left")
+    pairs = _cross_pairs(rows, main.where(F.col("pairs") <= CROWD))
+    if not main.where(F.col("pairs") > CROWD).isEmpty():
+        pairs = scratch.put(pairs.unionByName(_crowd_pairs(rows, main, nodes, component, docs, key, text, scratch)).distinct(), "pairs")
     second = scratch.put(_similar(pairs, nodes).join(first.select("a", "b"), ["a", "b"], "left_anti"), "second")
     more = _links(second, nodes, docs, key, text, scratch, "second")
     root = F.coalesce("root", "x")
-    up = lambda df, c: df.select(F.col(c).alias("x"), *[d for d in df.columns if d != c]).join(component, F.col("x") == F.col("node"), "left").select(root.alias(c), *[d for d in df.columns if d != c])
-    joined = scratch.put(components(up(up(more, "a"), "b"), scratch, "left"), "joined")
-    final = nodes.select("sid", "least").join(component.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("c1"))
-    final = final.join(joined, final["c1"] == joined["node"], "left").select("sid", "least", F.coalesce("root", "c1").alias("comp"))
+    up = lambda df, c: df.select(F.col(c).alias("x"), *[d for d in df.columns if d != c]).join(component.hint("merge"), F.col("x") == F.col("node"), "left").select(root.alias(c), *[d for d in df.columns if d != c])
+    joined = scratch.put(components(up(up(more, "a"), "b"), scratch, "rest"), "joined")
+    final = nodes.select("sid", "least").join(component.select(F.col("node").alias("sid"), "root").hint("merge"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("c1"))
+    final = final.join(joined.hint("merge"), final["c1"] == joined["node"], "left").select("sid", "least", F.coalesce("root", "c1").alias("comp"))
     ids = final.groupBy("comp").agg(F.min("least").alias("_cid"))
-    of_set = scratch.put(final.join(ids, "comp").select("sid", "_cid"), "ids")
-    for name in ("members", "first", "second", "rows", "main"):
+    of_set = scratch.put(final.join(ids.hint("merge"), "comp").select("sid", "_cid"), "ids")
+    for name in ("members", "first", "second", "left-rows", "left-main", "rare-rows", "rare-main", "crowd-rows", "crowd", "sized", "pairs"):
         scratch.drop(name)
-    out = sketched.select("_key", "_fp", "n", "sid").join(of_set, "sid", "left")
+    out = sketched.select("_key", "_fp", "n", "sid").join(of_set.hint("merge"), "sid", "left")
     cid = F.when(F.col("sid").isNull(), F.col("_key")).otherwise(F.col("_cid"))
     return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), cid.alias("component_id"), F.equal_null("_key", cid).alias("kept"), F.lower(F.hex("sid")).alias("set_id"), F.col("_fp").alias("text_fp"))
 
@@ -233,7 +285,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text:
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    sets = scratch.put(whole_sets(docs, key, text, nodes.select("sid", "_at").join(wanted, "sid")), f"{name}-sets")
+    sets = scratch.put(whole_sets(docs, key, text, nodes.select("sid", "_at").join(wanted.hint("merge"), "sid")), f"{name}-sets")
     links = scratch.put(_confirmed(pairs, sets), f"{name}-links")
     scratch.drop(f"{name}-sets")
     return links

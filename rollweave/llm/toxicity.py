@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import words
 from .media import batch_type
 
-SAMPLE = 12_000
-MOST_WORDS = 300
+SAMPLE = 8_000
+MOST_WORDS = 150
 #: Least chi-square (1 degree of freedom) and least documents of a word that is to be a feature.
 LEAST_CHI2, LEAST_DOCS = 30.0, 3
 FOLDS = 5
