@@ -12,7 +12,7 @@ WORD_BYTES = bytes(
 )
 
 #: Rows of an Arrow batch. Texts are long, and a batch is held in memory as a whole.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -63,7 +63,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
