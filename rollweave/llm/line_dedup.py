@@ -7,7 +7,7 @@ key and a smaller chunk number; of equal places all stay.
 
 First, only chunk hashes are shuffled, to find the repeated ones. Then the chunks with a repeated hash, and only they, travel with their
 text and are grouped by the text itself, so what is removed is equal byte by byte. All groupings aggregate before they shuffle, and what goes
-back to a document is a list of its own chunks.
+back to a document is a list of its own chunks. Joins with the documents are told to merge, so that they run alike at every size.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, scratch: Scratch) -> D
     suspects = scratch.put(hashed.join(repeated, "h").groupBy("_key", "_fp").agg(F.collect_set("no").alias("suspects")), "suspects")
     scratch.drop("hashed")
     marked = suspects.select(F.col("_key").alias("_skey"), F.col("_fp").alias("_sfp"), "suspects")
-    joined = source.join(marked, (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
+    joined = source.join(marked.hint("merge"), (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
     texts = _chunks(_split(joined), "suspects").where(F.array_contains("suspects", F.col("no"))).select("_key", "_fp", "no", "chunk")
     texts = scratch.put(texts, "texts")
     scratch.drop("suspects")
@@ -92,7 +92,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     own = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     own = own.select(*columns, F.col(names[text]).cast("string").alias("_text"), F.xxhash64(F.col(names[text]).cast("string")).alias("_fp"))
     marked = drop.select(F.col("_key").alias("_dkey"), F.col("_fp").alias("_dfp"), "drop")
-    joined = own.join(marked, (F.col("_fp") == F.col("_dfp")) & F.equal_null(names[key], "_dkey"), "left")
+    joined = own.join(marked.hint("merge"), (F.col("_fp") == F.col("_dfp")) & F.equal_null(names[key], "_dkey"), "left")
     wide = _split(joined.select(*columns, "_text", F.coalesce("drop", F.array().cast("array<int>")).alias("drop")))
     columns.append("drop")
     spans = F.transform(F.arrays_zip("begins", "ends"), lambda x, i: F.struct(x["begins"].alias("a"), x["ends"].alias("b"), i.alias("no")))
