@@ -51,7 +51,7 @@ class Scratch:
         before = self.spark.conf.get(FILE_CLEANUP, "false")
         self.spark.conf.set(FILE_CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
         finally:
             self.spark.conf.set(FILE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
