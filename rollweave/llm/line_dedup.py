@@ -8,6 +8,10 @@ key and a smaller chunk number; of equal places all stay.
 First, only chunk hashes are shuffled, to find the repeated ones. Then the chunks with a repeated hash, and only they, travel with their
 text and are grouped by the text itself, so what is removed is equal byte by byte. All groupings aggregate before they shuffle, and what goes
 back to a document is a list of its own chunks. Joins with the documents are told to merge, so that they run alike at every size.
+
+Chunks miss most short passages, as both their cuts must stand inside. ``drop_repeated_runs`` looks at each pair of consecutive lines that aren't
+blank (with the blank ones between) as well, by the same steps: all lines of a repeated run of two or more lines go, whatever cuts are near. A
+line's first place in the corpus always stays: a pair goes only if it stands earlier, and there both its lines do.
 """
 
 from __future__ import annotations
@@ -79,6 +83,80 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, scratch: Scratch) -> D
     return found
 
 
+def _units(rows: DataFrame) -> DataFrame:
+    """All columns, and units: the spans (pair, a, b) of the multi-line chunks and of the pairs of consecutive lines that aren't blank."""
+    rest = [c for c in rows.columns if c not in ("begins", "ends")]
+    full = F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(NOT_BLANK), i)), lambda i: i.isNotNull())
+    rows = rows.select(*rest, F.inline(F.array(F.struct(F.col("begins"), F.col("ends"), full.alias("full")))))
+    span = lambda pair, a, b: F.struct(F.lit(pair).alias("pair"), a.alias("a"), b.alias("b"))
+    chunks = F.filter(F.zip_with("begins", "ends", lambda a, b: span(False, a, b)), lambda x: x["b"] - x["a"] + 1 >= LEAST_LINES)
+    less = F.greatest(F.size("full") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("full", 1, less), F.slice("full", 2, less), lambda a, b: span(True, a, b))
+    return rows.select(*rest, F.inline(F.array(F.struct(F.concat(chunks, pairs).alias("units")))))
+
+
+def _unit_texts(rows: DataFrame, hashed: bool) -> DataFrame:
+    """(_key, _fp, unit, h or chunk) of each unit that isn't blank. Text by text, so that the lines aren't copied for each unit."""
+    chunk = lambda x: _text_of(x["a"], x["b"])
+    value = lambda x: F.xxhash64(x["pair"], chunk(x)).alias("h") if hashed else chunk(x).alias("chunk")
+    units = F.transform(F.filter("units", lambda x: x["pair"] | chunk(x).rlike(NOT_BLANK)), lambda x: F.struct(x.alias("unit"), value(x)))
+    return rows.select("_key", "_fp", F.inline(units))
+
+
+def repeated_spans(docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
+    """(_key, _fp, drop): the units (pair, a, b) that stand anywhere earlier, for each (key, text) that has any. As repeated_chunks; a chunk is compared with chunks, a pair with pairs."""
+    source = _source(docs, key, text)
+    hashed = scratch.put(_unit_texts(_units(_split(source)), True), "hashed")
+    repeated = hashed.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
+    suspects = scratch.put(hashed.join(repeated, "h").groupBy("_key", "_fp").agg(F.collect_set("unit").alias("units")), "suspects")
+    scratch.drop("hashed")
+    marked = suspects.select(F.col("_key").alias("_skey"), F.col("_fp").alias("_sfp"), "units")
+    joined = source.join(marked.hint("merge"), (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
+    lines = F.split(F.coalesce("_text", F.lit("")), "\n", -1)
+    rows = joined.select("_key", "_fp", "units", F.inline(F.array(F.struct(lines.alias("lines")))))
+    texts = scratch.put(_unit_texts(rows, False).select("_key", "_fp", "unit", F.col("unit.pair").alias("pair"), F.col("unit.a").alias("a"), "chunk"), "texts")
+    scratch.drop("suspects")
+    place = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("a").alias("a"))
+    first = texts.groupBy("pair", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first != final").select("pair", "chunk", "first")
+    later = texts.join(first, ["pair", "chunk"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("a") != F.col("first.a")))
+    found = scratch.put(later.groupBy("_key", "_fp").agg(F.collect_set("unit").alias("drop")), "drop")
+    scratch.drop("texts")
+    return found
+
+
+def drop_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """The documents without their repeated runs of two or more lines, with the new length in characters, all other columns as they are.
+
+    The rows are those of drop_repeated_lines: a text of which the chunks alone leave nothing but blanks goes. One of which the pairs leave
+    nothing stays as a row with an empty text, which has no tokens, so that mixing gives it no copies.
+    """
+    scratch = Scratch(docs.sparkSession, "runs")
+    drop = repeated_spans(docs, key, text, scratch)
+    names = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    columns = list(names.values())
+    own = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    own = own.select(*columns, F.col(names[text]).cast("string").alias("_text"), F.xxhash64(F.col(names[text]).cast("string")).alias("_fp"))
+    marked = drop.select(F.col("_key").alias("_dkey"), F.col("_fp").alias("_dfp"), "drop")
+    joined = own.join(marked.hint("merge"), (F.col("_fp") == F.col("_dfp")) & F.equal_null(names[key], "_dkey"), "left").select(*columns, "_text", "drop")
+    lines = F.when(F.col("drop").isNotNull(), F.split("_text", "\n", -1))
+    wide = joined.select(*columns, "_text", "drop", F.inline(F.array(F.struct(lines.alias("lines")))))
+
+    def rest(spans: Column) -> Column:
+        gone = F.flatten(F.transform(spans, lambda x: F.sequence(x["a"], x["b"])))
+        stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
+        return F.when(F.col("drop").isNotNull(), F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+
+    chunked = F.filter("drop", lambda x: ~x["pair"])
+    # Without a repeated chunk the text stays a row, whatever the pairs leave.
+    emptied = (F.size(chunked) > 0) & ~rest(chunked).rlike(NOT_BLANK)
+    wide = wide.select(*columns, "drop", F.inline(F.array(F.struct(rest(F.col("drop")).alias("kept"), F.coalesce(emptied, F.lit(False)).alias("emptied")))))
+    kept = F.when(F.col("kept").rlike(NOT_BLANK), F.col("kept")).otherwise("")
+    changed = {text: F.when(F.col("drop").isNotNull(), kept).otherwise(F.col(names[text]))}
+    if length in docs.columns:
+        changed[length] = F.when(F.col("drop").isNotNull(), F.length(kept).cast(dict(docs.dtypes)[length])).otherwise(F.col(names[length]))
+    return wide.where(~F.col("emptied")).select(*(changed.get(c, F.col(n)).alias(c) for c, n in names.items()))
+
+
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, ``row`` (the whole input row as a struct), n_lines, n_chunks, n_removed (chunks), n_removed_lines, kept (text).
 

@@ -58,6 +58,57 @@ def test_drop_repeated_lines(edge_docs, edge_rows):
     assert all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in got)
 
 
+def brute_runs(rows):
+    """(key, text): without the lines of chunks and of line pairs that stand earlier; blank is empty. Rows of which the chunks leave nothing go."""
+    full = lambda x: re.search(r"[^ \t\n\x0B\f\r]", x)
+    place = lambda k, a: (k is None, k or 0, a)
+    found, first = [], {}
+    for k, t in rows:
+        own, units, at = (t or "").split("\n"), [], 0
+        for c in chunks(t):
+            units += [(False, at, at + len(c))] * (len(c) >= 2 and bool(full("\n".join(c))))
+            at += len(c)
+        some = [i for i, x in enumerate(own) if full(x)]
+        units += [(True, i, j + 1) for i, j in zip(some, some[1:])]
+        found.append((k, t, own, units))
+        for pair, a, b in units:
+            x = pair, "\n".join(own[a:b])
+            first[x] = min(first.get(x, place(k, a)), place(k, a))
+    out = []
+    for k, t, own, units in found:
+        gone = [(pair, a, b) for pair, a, b in units if first[pair, "\n".join(own[a:b])] < place(k, a)]
+        rest = lambda spans: "\n".join(x for i, x in enumerate(own) if not any(a <= i < b for _, a, b in spans))  # noqa: B023, E731
+        chunked = [x for x in gone if not x[0]]
+        if not chunked or full(rest(chunked)):
+            out.append((k, t if not gone else rest(gone) if full(rest(gone)) else ""))
+    return sorted(out, key=str)
+
+
+def test_drop_repeated_runs(edge_docs, edge_rows, no_docs):
+    out = line_dedup.drop_repeated_runs(edge_docs)
+    assert out.columns == edge_docs.columns and out.dtypes == edge_docs.dtypes
+    got = out.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == brute_runs(edge_rows)
+    assert all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in got)
+    assert line_dedup.drop_repeated_runs(no_docs).collect() == []
+
+
+def test_short_passages_and_copies_go_whole(spark):
+    """At every place in a text, whatever cuts are near; drop_repeated_lines leaves most of these."""
+    line = lambda k, i: f"text {k} line {i} of some words"
+    rows, want = [], {}
+    for k in range(40):
+        passage = [line(k, f"p{i}") for i in range(2 + k % 4)]
+        first, second = [line(k, "a"), *passage, line(k, "b")], [line(k, "c"), line(k, "d"), *passage, line(k, "e")]
+        rows += [(3 * k, "\n".join(first)), (3 * k + 1, "\n".join(second)), (3 * k + 2, "\n".join(first))]
+        want |= {3 * k: "\n".join(first), 3 * k + 1: "\n".join([line(k, "c"), line(k, "d"), line(k, "e")])}
+    docs = make_docs(spark, rows)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_runs(docs).collect()}
+    assert {k: t for k, t in got.items() if t} == want
+    left = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert set(got) == set(left) and sum(left[k] != t for k, t in got.items()) > 40
+
+
 def test_boundaries_come_back_in_step():
     lines = [f"line {k}" for k in range(200)]
     a, b = cuts("\n".join(lines)), cuts("\n".join(["new"] + lines))
