@@ -1,7 +1,7 @@
 """The corpus pipeline: documents through five operators, each stage written as Parquet and read again as the next one's documents.
 
-1 toxicity: documents that the chain rejects go. 2 line dedup: globally repeated multi-line chunks go from the texts, and documents of which
-nothing is left. 3 near duplicates: one document of each group stays. 4 decontamination: contaminated documents go. 5 mixing: what is left
+1 toxicity: documents that the chain rejects go. 2 line dedup: globally repeated runs of two or more lines go from the texts, so a later
+copy goes whole: as a row, or with an empty text, to which mixing gives no copies. 3 near duplicates: one document of each group stays. 4 decontamination: contaminated documents go. 5 mixing: what is left
 is sampled to the target weights; ``copies`` says how often a document is to be read.
 """
 
@@ -21,7 +21,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_repeated_lines(docs)
+    return line_dedup.drop_repeated_runs(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

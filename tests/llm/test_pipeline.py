@@ -24,3 +24,16 @@ def test_stages_take_effect(spark):
     assert ids(outs[3]) == ids(dc.contamination(outs[2], read("benchmark")).where("not contaminated"))
     assert set(ids(outs[4])) <= set(ids(outs[3]))
     assert ids(corpus_pipeline.run(spark, SF)) == ids(outs[4])
+
+
+def test_later_copies_leave_no_fragments(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first, copies = {}, set()
+    for r in docs.orderBy("doc_id").collect():
+        if "\n" in (r["text"] or "") and first.setdefault(r["text"], r["doc_id"]) != r["doc_id"]:
+            copies.add(r["doc_id"])
+    assert len(copies) >= 10
+    out = dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, SF)
+    assert not [r["doc_id"] for r in out.collect() if r["doc_id"] in copies and r["text"].strip()]
+    mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, out, SF)
+    assert not copies & {r["doc_id"] for r in mixed.collect()}
