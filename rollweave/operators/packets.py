@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import norm
+from . import snap
 
 MERGE_PASSES = 5
 
@@ -72,9 +73,15 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def top_name(names: list[tuple[str, str]]) -> tuple[str, str]:
+    """The most frequent, of equals the one seen first; blank without any."""
+    return max(dict.fromkeys(names), key=names.count) if names else ("", "")
+
+
 def fold_packets(packets: list[dict], passes: int = MERGE_PASSES) -> list[dict]:
-    """W4 on one roll's packets, each with begin, end, names (of its named pages in order), last, first, and pages. A pass folds from the left; a
-    merged packet takes the majority of its raw names; passes go on until the number stays."""
+    """W4 on one roll's packets, each with begin, end, names (of its named pages in order), last, first (after the snap), pages, and perhaps confs (of
+    its pages) and flagged. A pass folds from the left; a merged packet takes the majority of its raw names, so its snap is cleared, and the flag of
+    either side; passes go on until the number stays."""
 
     def near(a: dict, b: dict) -> bool:
         if not a["last"] or not b["last"] or not 0 <= b["begin"] - a["end"] <= 3:
@@ -86,9 +93,11 @@ def fold_packets(packets: list[dict], passes: int = MERGE_PASSES) -> list[dict]:
         out: list[dict] = []
         for p in packets:
             if out and near(out[-1], p):
-                names = out[-1]["names"] + p["names"]
-                last, first = max(dict.fromkeys(names), key=names.count) if names else ("", "")
-                out[-1] = {"begin": out[-1]["begin"], "end": p["end"], "names": names, "last": last, "first": first, "pages": out[-1]["pages"] + p["pages"]}
+                q = out[-1]
+                names = q["names"] + p["names"]
+                last, first = top_name(names)
+                carried = {"confs": q.get("confs", []) + p.get("confs", []), "flagged": q.get("flagged", False) or p.get("flagged", False)}
+                out[-1] = {"begin": q["begin"], "end": p["end"], "names": names, "last": last, "first": first, "pages": q["pages"] + p["pages"], **carried}
             else:
                 out.append(p)
         done, packets = len(out) == len(packets), out
@@ -97,21 +106,52 @@ def fold_packets(packets: list[dict], passes: int = MERGE_PASSES) -> list[dict]:
     return packets
 
 
-def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island") -> DataFrame:
+def snap_packets(packets: DataFrame, index: DataFrame, roll: str) -> DataFrame:
+    """Last and first of the nearest index entry, else as they are; last_raw, first_raw, snap_applied (a name changed) and snap_distance."""
+    own = snap.nearest(packets, index, roll, "last", "first").drop("_l", "_f").withColumnsRenamed({"last": "last_raw", "first": "first_raw"})
+    own = own.withColumn("last", F.coalesce("snap.ilast", "last_raw")).withColumn("first", F.coalesce("snap.ifirst", "first_raw"))
+    applied = (F.col("last") != norm(F.col("last_raw"))) | (F.col("first") != norm(F.col("first_raw")))
+    return own.withColumn("snap_applied", applied & F.col("snap").isNotNull()).withColumn("snap_distance", F.col("snap.dist")).drop("snap")
+
+
+def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island", index: DataFrame | None = None, confidence: str | None = None, threshold: float = 0.7) -> DataFrame:
     """(roll, packet_no, last, first, begin, end, pages). A fold over one roll's packets in order, so the roll is the unit of work; rolls are bounded
-    by the film's length. pages: with islands, order an integer frame."""
+    by the film's length. pages: with islands, order an integer frame.
+
+    index (of snap.roll_index): J1 before and after. Islands are compared by their snapped names, merged packets by their raw majority, and every packet
+    is snapped at the end, which adds last_raw, first_raw, snap_applied and snap_distance. confidence: adds avg_confidence and flagged (any page
+    under the threshold) over all pages of a packet."""
     kind = dict(pages.dtypes)[roll]
+    conf = F.col(confidence).cast("double") if confidence else F.lit(None).cast("double")
+    own = pages.select(F.col(roll), F.col(order).alias("_o"), norm(F.col(last)).alias("last"), norm(F.col(first)).alias("first"), F.col(island).alias("_i"), conf.alias("_c"))
+    if index is None:
+        own = own.withColumn("_sl", F.lit(None).cast("string")).withColumn("_sf", F.lit(None).cast("string"))
+    else:
+        named = own.where("last != '' or first != ''").groupBy(roll, "_i", "last", "first").agg(F.count("*").alias("_n"), F.min("_o").alias("_at"))
+        w = Window.partitionBy(roll, "_i").orderBy(F.desc("_n"), "_at")
+        top = named.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(roll, "_i", "last", "first")
+        snapped = snap_packets(top, index, roll).select(roll, "_i", F.col("last").alias("_sl"), F.col("first").alias("_sf"))
+        own = own.join(snapped, [roll, "_i"], "left")
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         packets = []
-        for _, group in own.sort_values(order).groupby(island, sort=True):
-            names = [(a, b) for a, b in zip(group[last], group[first], strict=True) if a or b]
-            top = max(dict.fromkeys(names), key=names.count) if names else ("", "")
-            packets.append({"begin": int(group[order].iloc[0]), "end": int(group[order].iloc[-1]), "names": names, "last": top[0], "first": top[1], "pages": len(group)})
-        merged = fold_packets(packets)
-        return pd.DataFrame([(own[roll].iloc[0], k, p["last"], p["first"], p["begin"], p["end"], p["pages"]) for k, p in enumerate(merged, 1)], columns=[roll, "packet_no", "last", "first", "begin", "end", "pages"])
-
-    return pages.select(roll, order, last, first, island).groupBy(roll).applyInPandas(run, f"{roll} {kind}, packet_no long, last string, first string, begin long, end long, pages long")
+        for _, group in own.sort_values("_o").groupby("_i", sort=True):
+            names = [(a, b) for a, b in zip(group["last"], group["first"], strict=True) if a or b]
+            known = isinstance(group["_sl"].iloc[0], str)
+            name = (group["_sl"].iloc[0], group["_sf"].iloc[0]) if known else top_name(names)
+            confs = group["_c"].dropna().tolist()
+            packets.append({"begin": int(group["_o"].iloc[0]), "end": int(group["_o"].iloc[-1]), "names": names, "last": name[0], "first": name[1], "pages": len(group), "confs": confs, "flagged": any(c < threshold for c in confs)})
+        rows = []
+        for k, p in enumerate(fold_packets(packets), 1):
+            mean = sum(p["confs"]) / len(p["confs"]) if p["confs"] else None
+            rows.append((own[roll].iloc[0], k, *top_name(p["names"]), p["begin"], p["end"], p["pages"], mean, p["flagged"]))
+        return pd.DataFrame(rows, columns=[roll, "packet_no", "last", "first", "begin", "end", "pages", "avg_confidence", "flagged"])
+
+    merged = own.groupBy(roll).applyInPandas(run, f"{roll} {kind}, packet_no long, last string, first string, begin long, end long, pages long, avg_confidence double, flagged boolean")
+    columns = [roll, "packet_no", "last", "first", "begin", "end", "pages", *(["avg_confidence", "flagged"] if confidence else [])]
+    if index is None:
+        return merged.select(*columns)
+    return snap_packets(merged, index, roll).select(*columns, "last_raw", "first_raw", "snap_applied", "snap_distance")
 
 
 def alphabet_breaks(rows: DataFrame, roll: str, order: str, last: str) -> DataFrame:

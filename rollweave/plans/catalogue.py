@@ -165,11 +165,12 @@ def adjacent_merge_candidates(spark, d):
 
 @query()
 def merge_fixpoint(spark, d):
-    """Rolls are brands; frames are numbered within the roll, so that neighbours are near."""
+    """Rolls are brands; frames are numbered within the roll, so that neighbours are near. Islands and merged packets are snapped to the roll's index."""
     w = Window.partitionBy("roll").orderBy("frame")
-    own = pages(spark, d).withColumn("frame", F.row_number().over(w).cast("long"))
+    p = pages(spark, d)
+    own = p.withColumn("frame", F.row_number().over(w).cast("long"))
     own = packets.islands(own, "roll", "frame", s.coarse_key(F.col("last"), F.col("first")))
-    return packets.merge_to_fixpoint(own, "roll", "frame", "last", "first")
+    return packets.merge_to_fixpoint(own, "roll", "frame", "last", "first", index=index(p), confidence="conf", threshold=950.0)
 
 
 @query(f"with {EV}, c as (select user_id, event_type, count(*) as n, min(tick) as o from ev group by 1, 2), r as (select *, row_number() over (partition by user_id order by n desc, o) as rn from c) select user_id, event_type as majority, n as votes from r where rn = 1")

@@ -86,6 +86,22 @@ def test_merge_to_fixpoint(spark):
     assert [(r["last"], r["begin"], r["end"], r["pages"]) for r in got] == [("SMITH", 1, 4, 4), ("SMITH", 20, 20, 1), ("JONES", 21, 21, 1)]
 
 
+def test_merge_by_snapped_names(spark):
+    """SMXXH JOHN and SMITHER JOHN are 4 edits apart, and both snap to the entry SMITH JOHN; the merged packet's majority snaps again."""
+    rows = [(1, 1, "smxxh ", "John", 0.9), (2, 1, "", "", 0.5), (3, 2, "SMITHER", "JOHN", 0.8), (4, 2, "SMITHER", "JOHN", 1.0), (5, 3, "JONES", "MARY", 0.9), (6, 4, "QUUX", "ANN", 0.9), (7, 5, "DOE", "", 0.6)]
+    pages = spark.createDataFrame([("R", *r) for r in rows], "roll string, frame long, island long, last string, first string, conf double")
+    index = spark.createDataFrame([("R", "SMITH", "JOHN", 1), ("R", "JONES", "MARY", 2)], "roll string, ilast string, ifirst string, pos long")
+    out = packets.merge_to_fixpoint(pages, "roll", "frame", "last", "first", index=index, confidence="conf")
+    got = [tuple(r) for r in out.select("packet_no", "last", "first", "begin", "end", "pages", F.round("avg_confidence", 6), "flagged", "last_raw", "snap_applied", "snap_distance").orderBy("packet_no").collect()]
+    assert got == [
+        (1, "SMITH", "JOHN", 1, 4, 4, 0.8, True, "SMITHER", True, 2),
+        (2, "JONES", "MARY", 5, 5, 1, 0.9, False, "JONES", False, 0),
+        (3, "QUUX", "ANN", 6, 6, 1, 0.9, False, "QUUX", False, None),
+        (4, "DOE", "", 7, 7, 1, 0.6, True, "DOE", False, None),
+    ]
+    assert packets.merge_to_fixpoint(pages, "roll", "frame", "last", "first").count() == 5
+
+
 def test_merge_is_a_fixpoint_or_five_passes():
     draw = random.Random(1)
     for _ in range(200):
