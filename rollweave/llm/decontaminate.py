@@ -12,12 +12,13 @@ words have no windows; repeated items are found under each of their ids; an empt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import words
+from .common import WORD_BYTES, words
 from .media import batch_type
 
 WINDOW = 13
@@ -237,3 +238,56 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def spans_over(spans: Sequence[tuple[int, int]], n_words: int, least: int = WINDOW, share: int = SHARE) -> list[tuple[int, int]]:
+    """The spans over the limits: all, if they reach the share of a contaminated document, else those of at least so many words."""
+    hit = sum(b - a for a, b in spans)
+    return [(a, b) for a, b in spans if b - a >= least or share * hit >= n_words]
+
+
+def cut_words(text: str, spans: Sequence[tuple[int, int]]) -> str:
+    """The text without these spans of words, each from its first word's first byte to its last word's last; what stands around them stays."""
+    raw = text.encode("utf-8", "surrogatepass")
+    places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(WORD_BYTES))]
+    out, at = [], 0
+    for a, b in spans:
+        out.append(raw[at : places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, least: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS, length: str | None = "n_chars") -> DataFrame:
+    """All documents, their texts without the hit spans over the limits (see spans_over), with the new length in characters, all other columns as they are.
+
+    The spans are those of the text as it is: a window whose words only come together at a cut isn't looked for.
+    """
+    todo = blocks(benchmark, item, item_text, block_words)
+    block, more = next(todo), next(todo, None)
+    at, columns = docs.columns.index(text), docs.columns
+    n_at = columns.index(length) if length in columns else None
+    if more is None:
+        automaton, given = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(block, window)), docs
+    else:
+        automaton = None
+        hits = _hits(docs, benchmark, key, text, item, item_text, window, block_words).where(F.size("_starts") > 0).dropDuplicates([key, "_fp"])
+        hits = hits.select(F.col(key).alias("_hkey"), F.col("_fp").alias("_hfp"), "_starts", "_ends")
+        given = docs.join(hits, (_fingerprint(text) == F.col("_hfp")) & F.equal_null(docs[key], hits["_hkey"]), "left").select(*(docs[c] for c in columns), "_starts", "_ends")
+
+    def run(batches):
+        for batch in batches:
+            texts, sizes = batch[at].to_pylist(), batch[n_at].to_pylist() if n_at is not None else None
+            for i, value in enumerate(texts):
+                tokens = words(value)
+                spans = automaton.value.scan(tokens)[0] if automaton else list(zip(batch[-2][i].as_py() or (), batch[-1][i].as_py() or (), strict=True))
+                if over := spans_over(spans, len(tokens), least, share):
+                    texts[i] = cut_words(value, over)
+                    if sizes:
+                        sizes[i] = len(texts[i])
+            cols = [batch[k] for k in range(len(columns))]
+            cols[at] = pa.array(texts, cols[at].type)
+            if sizes:
+                cols[n_at] = pa.array(sizes, cols[n_at].type)
+            yield pa.RecordBatch.from_arrays(cols, names=columns)
+
+    return given.mapInArrow(run, docs.schema)

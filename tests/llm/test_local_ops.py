@@ -154,6 +154,25 @@ def test_contamination(spark, edge_docs, edge_rows, no_docs, most):
     assert dc.decontaminate(edge_docs, bench.limit(0)).count() == len(edge_rows)
 
 
+@pytest.mark.parametrize("most", [500_000, 20])
+def test_remove_spans(spark, edge_docs, edge_rows, no_docs, most):
+    word = lambda n, k: " ".join(f"{k}{i}" for i in range(n))
+    item, short = word(45, "q"), "Zwölf, kurze Wörter"
+    bench = spark.createDataFrame([(1, item), (2, short), (3, word(30, "r"))], "item_id long, text string")
+    before, after = word(450, "a") + ",\n", "; " + word(450, "b")
+    rows = [(0, before + item.upper() + after), (1, before + short + after), (2, short), (3, word(5, "c") + " (" + item + ")"), (4, None), (5, ""), (0, before + item.upper() + after), (None, before + "é" + after)]
+    docs = make_docs(spark, rows)
+    out = dc.remove_spans(docs, bench, block_words=most)
+    assert out.dtypes == docs.dtypes
+    want = [(0, before + after), (1, before + short + after), (2, ""), (3, word(5, "c") + " ()"), (4, None), (5, ""), (0, before + after), (None, before + "é" + after)]
+    got = out.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+    assert all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in got)
+    left = dc.contamination(out, bench, block_words=most).where("doc_id != 1").collect()
+    assert all(r["n_hit"] == 0 for r in left)
+    assert dc.remove_spans(no_docs, bench, block_words=most).collect() == []
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("abc", max_size=12), min_size=1, max_size=5), st.text("abcd", max_size=40), st.integers(1, 5))
 def test_automaton_finds_all_windows(items, text, window):
