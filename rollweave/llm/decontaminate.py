@@ -6,7 +6,7 @@ words inside any occurrence of a window are hit. A document whose hit words reac
 
 Items are taken in blocks of at most BLOCK_WORDS words, read one after the other, so that a broadcast automaton is bounded whatever
 the benchmark's size; documents are scanned once for each block, and only if there are several blocks are the hits put together by a
-shuffle. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
+shuffle, and joined back to the rows. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
 words have no windows; repeated items are found under each of their ids; an empty benchmark hits nothing.
 """
 
@@ -192,7 +192,7 @@ def _union_spans(spans: Column) -> Column:
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int, block_words: int) -> DataFrame:
-    """As scan_block, over all blocks. With several, one row for each (key, text), however often it is repeated."""
+    """As scan_block, over all blocks: a row for each row of docs. With several blocks, _fp is set."""
     todo = blocks(benchmark, item, item_text, block_words)
     block, more = next(todo), next(todo, None)
     if more is None:
@@ -202,14 +202,13 @@ def _hits(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str,
         found, more = found.unionByName(scan_block(docs, key, text, more, window, True)), next(todo, None)
     grouped = found.groupBy(key, "_fp").agg(F.max("_n_words").alias("_n_words"), F.flatten(F.collect_set(F.arrays_zip("_starts", "_ends"))).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("_items"))
     grouped = grouped.withColumn("_spans", _union_spans(F.col("_spans")))
-    return grouped.select(key, "_fp", "_n_words", F.col("_spans")["_starts"].alias("_starts"), F.col("_spans")["_ends"].alias("_ends"), "_items")
+    grouped = grouped.select(F.col(key).alias("_gkey"), F.col("_fp").alias("_gfp"), "_n_words", F.col("_spans")["_starts"].alias("_starts"), F.col("_spans")["_ends"].alias("_ends"), "_items")
+    rows = docs.select(F.col(key), _fingerprint(text).alias("_fp"))
+    return rows.join(grouped, (F.col("_fp") == F.col("_gfp")) & F.equal_null(F.col(key), F.col("_gkey"))).drop("_gkey", "_gfp")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: key, n_words, n_hit, n_items, items_sha256 (of the item ids as sorted strings), contaminated, spans, items.
-
-    If the benchmark takes several blocks, rows with one key and one text come back as one row.
-    """
+    """One row per document: key, n_words, n_hit, n_items, items_sha256 (of the item ids as sorted strings), contaminated, spans, items."""
     found = _hits(docs, benchmark, key, text, item, item_text, window, block_words)
     n_hit = F.aggregate(F.zip_with("_starts", "_ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
     found = found.select("*", n_hit.alias("n_hit"))

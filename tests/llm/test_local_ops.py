@@ -154,6 +154,14 @@ def test_contamination(spark, edge_docs, edge_rows, no_docs, most):
     assert dc.decontaminate(edge_docs, bench.limit(0)).count() == len(edge_rows)
 
 
+@pytest.mark.parametrize("most", [500_000, 20])
+def test_repeated_rows_stay_at_every_size(spark, edge_docs, edge_rows, most):
+    items = [(1, " ".join(edge_rows[22][1].split()[100:140])), (2, "alpha beta gamma")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = dc.contamination(edge_docs, bench, block_words=most).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(k) for k, _ in edge_rows)
+
+
 @pytest.mark.parametrize("most", [500_000, 20])
 def test_remove_spans(spark, edge_docs, edge_rows, no_docs, most):
     word = lambda n, k: " ".join(f"{k}{i}" for i in range(n))
