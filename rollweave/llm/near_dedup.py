@@ -4,14 +4,15 @@ A document's set holds its distinct 5-word shingles. Documents of equal sets are
 Each node has SAMPLES MinHash values. BANDS bands of ROWS of them deal nodes into buckets; two sets of similarity 0.75 meet in one with
 probability 1 - 2e-7. The samples are also folded into an odd sketch, a bitmap in which sample i toggles one bit; the XOR of two
 sketches has about ``BITS / 2 * (1 - exp(-4 * SAMPLES * (1 - J) / BITS))`` bits set, so its population count estimates a high similarity J
-closely. Pairs whose estimate is under 0.55 (over 4.5 standard deviations off) go; the others are confirmed on whole sets.
+closely. Pairs whose estimate is under 0.55 (over 4.5 standard deviations off) go, by chance a pair of similarity 0.75 with probability 3e-6;
+the others are confirmed on whole sets.
 
 No bucket is expanded into all its pairs. First, each bucket gives a star: its hub, the node that meets others most often, with all others. The confirmed links make
 components. What is left to check are pairs of one bucket in different components, so next each bucket gives only the pairs of nodes
 outside its largest component with the rest. In buckets with more than CROWD such pairs (texts with a shared passage, or many
 edits of one text), nodes whose shingles are too rarely found in other components to link them with anything there are ruled out, which
-is exact; the others are dealt again by RARE keys of RARE_ROWS samples, and give the pairs that odd sketches of their whole sets
-don't rule out, which is exact too. A last pass joins the components.
+is exact; the others are dealt again by RARE keys of RARE_ROWS samples, a second cut by chance, in which a pair of similarity 0.75 is missed with
+probability 1.2e-5, and give the pairs that odd sketches of their whole sets don't rule out, which is exact. A last pass joins the components.
 
 Sets are compared as 64-bit fingerprints of all their shingles, nodes are 128-bit digests of whole sets.
 """
