@@ -5,7 +5,7 @@ before it. A later model is trained on out-of-fold predictions of the earlier on
 new texts; in use it gets those of the models trained on all folds.
 
 Training takes at most SAMPLE labelled documents (those with the smallest hash of their id, a documented bound; repeated texts count
-once), whose words Spark counts by category; the MOST_WORDS words of largest chi-square of each category are the features. So what the driver holds is
+once), whose words Spark counts by category; the MOST_WORDS words of largest chi-square of each category, if it is significant, are the features. So what the driver holds is
 bounded: SAMPLE rows of at most MOST_WORDS * categories counts. Every document is scored alone, as a whole, with no shuffle.
 
 A null or empty text has no words and gets the models' intercept. Labels that are null, or of unknown documents, don't count; of
@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from .media import batch_type
 
 SAMPLE = 8_000
 MOST_WORDS = 150
-#: Least chi-square (1 degree of freedom) and least documents of a word that is to be a feature.
-LEAST_CHI2, LEAST_DOCS = 30.0, 3
+#: Level at which a word that is to be a feature is significant by chi-square, shared out over all words tested, and its least documents.
+LEVEL, LEAST_DOCS = 0.05, 3
 FOLDS = 5
 #: L2 penalty of a weight, in units of one document.
 RIDGE = 0.02
@@ -102,6 +103,11 @@ def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS
     return tuple(weights)
 
 
+def least_chi2(tested: int, level: float = LEVEL) -> float:
+    """The chi-square (1 degree of freedom) that any of so many words without a link to the category reaches with at most this probability."""
+    return NormalDist().inv_cdf(level / max(1, tested) / 2) ** 2
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Chain:
     """categories: name to SQL condition over the labels, in the chain's order."""
     names = tuple(categories)
@@ -130,11 +136,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: s
     once = own.join(F.broadcast(unique.select("_key")), "_key")
     counted = once.mapInArrow(distinct_words, "_word binary, " + ", ".join(f"{c} int" for c in columns)).groupBy("_word").agg(F.count("*").alias("_df"), *(F.sum(c).alias(c) for c in columns)).where(F.col("_df") >= LEAST_DOCS)
     vocabulary: dict[bytes, int] = {}
+    least = least_chi2(counted.count())
     for c, p in zip(columns, positive, strict=True):
         if 0 < p < n:
             a, df = F.col(c).cast("double"), F.col("_df").cast("double")
             chi2 = n * F.pow(a * n - df * p, 2) / (df * (n - df) * p * (n - p))
-            best = counted.where(df < n).select("_word", chi2.alias("_chi2")).where(F.col("_chi2") >= LEAST_CHI2).orderBy(F.desc("_chi2"), "_word").limit(MOST_WORDS)
+            best = counted.where(df < n).select("_word", chi2.alias("_chi2")).where(F.col("_chi2") >= least).orderBy(F.desc("_chi2"), "_word").limit(MOST_WORDS)
             for w, _ in best.collect():
                 vocabulary.setdefault(bytes(w), len(vocabulary))
     chain = Chain(names, vocabulary, ())

@@ -194,6 +194,19 @@ def test_chain_on_held_out_documents(spark):
     assert kept == {r["doc_id"] for r in out if r["p_toxic"] < 0.5}
 
 
+def test_clear_words_of_small_label_tables(spark):
+    """80 labelled documents, 10 toxic, each clear word in 3 or 4 of the toxic ones only: chi-square 22 to 30."""
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 300, 40)) for _ in range(80)]
+    rows = [(k, t + f" {BAD[k % 3]}" * (k < 10)) for k, t in enumerate(texts)]
+    labels = spark.createDataFrame([(k, int(k % 2), int(k < 10)) for k in range(80)], "doc_id long, quality int, toxic int")
+    docs = make_docs(spark, rows)
+    chain = toxicity.train(docs, labels, CATEGORIES)
+    assert {x.encode() for x in BAD} <= set(chain.vocabulary) and len(chain.vocabulary) <= 5
+    out = toxicity.score(docs, chain).collect()
+    assert all((r["p_toxic"] >= 0.5) == (r["doc_id"] < 10) for r in out)
+
+
 def test_toxicity_edges(spark, edge_docs, edge_rows, no_docs):
     odd = spark.createDataFrame([(0, 1, 0), (0, 1, 1), (1, None, 1), (None, 1, 1), (99, 1, 1), (25, 0, 0), (16, 1, 0), (17, 0, 1)], "doc_id long, quality int, toxic int")
     chain = toxicity.train(edge_docs, odd, CATEGORIES)
