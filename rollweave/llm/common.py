@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes that end a word of the normal form: everything up to 0x7F but digits and letters. A-Z is lower-cased.
@@ -11,8 +14,8 @@ WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
 
-#: Rows of an Arrow batch. Texts are long, and a batch is held in memory as a whole.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch, whichever comes first. A batch is held in memory as a whole; one longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -23,8 +26,24 @@ def words(text: str | None) -> list[bytes]:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers get."""
+    """Bounds the Arrow batches that Python workers get. The session keeps the bounds: results are lazy, so they have to hold until the caller runs them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+_ARROW = {
+    "boolean": pa.bool_(), "tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64(),
+    "string": pa.string(), "binary": pa.binary(), "date": pa.date32(), "timestamp": pa.timestamp("us", tz="UTC"), "timestamp_ntz": pa.timestamp("us"),
+}
+
+
+def batch_type(name: str) -> pa.DataType:
+    """The Arrow type of a key column of this Spark type, as DataFrame.dtypes names it."""
+    if m := re.fullmatch(r"decimal\((\d+),(\d+)\)", name):
+        return pa.decimal128(int(m[1]), int(m[2]))
+    if name not in _ARROW:
+        raise ValueError(f"a key of type {name} isn't supported")
+    return _ARROW[name]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,14 +56,19 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_open: list[Scratch] = []
+
+
 class Scratch:
     """Tables written to the shared folder, to cut lineage: what is lost with an executor is read again from there.
 
-    A table's shuffle files go once it is written. ``drop`` deletes a table that no later plan reads.
+    A table's shuffle files go once it is written. ``drop`` deletes a table that no later plan reads, and ``release`` what is left once the result,
+    which may read it, is stored elsewhere.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.at = spark, f"{shared_dir(spark)}/rollweave/{name}-{uuid.uuid4().hex}"
+        _open.append(self)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.at}/{name}"
@@ -58,8 +82,28 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(f"{self.at}/{name}")
+
+    def _delete(self, at: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession, *keep: Scratch) -> None:
+    """Deletes the scratch tables of this session's operators, but for ``keep``. For callers that have stored the operators' results."""
+    for one in [x for x in _open if x.spark is spark and x not in keep]:
+        one._delete(one.at)
+        _open.remove(one)
+
+
+def deal_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join whose sides each get a shuffle of their own, by the keys and a hash of them.
+
+    An aggregated side already lies dealt by its keys, and a join that takes it as it lies can't be split: a hot key's rows would be one task's work. With
+    the hash among the keys both sides are dealt anew, and adaptive execution splits the partitions that are too large.
+    """
+    by = F.xxhash64(F.lit(len(keys)), *keys)
+    return left.withColumn("_by", by).join(right.withColumn("_by", by).hint("merge"), [*keys, "_by"], how).drop("_by")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,8 +18,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_BYTES, words
-from .media import batch_type
+from .common import WORD_BYTES, batch_type, words
 
 WINDOW = 13
 #: A document is contaminated if SHARE * n_hit >= n_words.

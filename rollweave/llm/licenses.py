@@ -16,8 +16,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import words
-from .media import batch_type
+from .common import batch_type, words
 
 #: Phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))

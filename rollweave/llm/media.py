@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import batch_type
+
 #: Fixed values of the format (RFC 3533).
 CAPTURE = b"OggS"
 CONTINUED, FIRST, LAST = 1, 2, 4
@@ -193,7 +195,3 @@ def ogg_features(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_
 
     types = [batch_type(t) for t in (dict(docs.dtypes)[key], "bigint", "bigint", "string", "bigint", "bigint", "string", "string", *["binary"] * keep_media)]
     return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema)
-
-
-def batch_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}[name]

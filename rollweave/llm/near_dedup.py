@@ -9,12 +9,12 @@ the others are confirmed on whole sets.
 
 No bucket is expanded into all its pairs. First, each bucket gives a star: its hub, the node that meets others most often, with all others. The confirmed links make
 components. What is left to check are pairs of one bucket in different components, so next each bucket gives only the pairs of nodes
-outside its largest component with the rest. In buckets with more than CROWD such pairs (texts with a shared passage, or many
-edits of one text), nodes whose shingles are too rarely found in other components to link them with anything there are ruled out, which
-is exact; the others are dealt again by RARE keys of RARE_ROWS samples, a second cut by chance, in which a pair of similarity 0.75 is missed with
-probability 1.2e-5, and give the pairs that odd sketches of their whole sets don't rule out, which is exact. A last pass joins the components.
+outside its largest component with the rest. Buckets with more than CROWD such pairs (texts with a shared passage, or many
+edits of one text) aren't paired at all: their nodes are joined by whole sets with a prefix filter, which is exact. A node's shingles that stand in no
+other component can't link it; what is left is ordered by how rare it is, and two sets of similarity 0.75 share one of their rarest quarter. Pairs that
+odd sketches of the whole sets rule out go, which is exact too. A last pass joins the components.
 
-Sets are compared as 64-bit fingerprints of all their shingles, nodes are 128-bit digests of whole sets.
+So two steps go by chance: the bands and the odd sketches of the samples. Sets are compared as 64-bit fingerprints of all their shingles, nodes are 128-bit digests of whole sets.
 """
 
 from __future__ import annotations
@@ -30,9 +30,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, batch_type, deal_join
 from .components import components
-from .media import batch_type
 
 SHINGLE = 5
 #: Link if PERCENT * union <= 100 * intersection.
@@ -42,9 +41,8 @@ SAMPLES = BANDS * ROWS
 BITS = 512
 LEAST_ESTIMATE = 0.55
 MOST_DIFFERENT = math.ceil(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - LEAST_ESTIMATE) / BITS)))
-#: More pairs than these in a bucket are first reduced by exact bounds.
+#: The nodes of buckets with more pairs than these are joined by their rarest shingles instead.
 CROWD = 200
-RARE, RARE_ROWS = 90, 6
 PARITY_WORDS = 16
 
 _M = (1 << 64) - 1
@@ -171,13 +169,6 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("sid", F.explode(keys).alias("key"))
 
 
-def _rare_keys(nodes: DataFrame) -> DataFrame:
-    """Each of the RARE keys hashes RARE_ROWS samples, drawn by hash (so one may be drawn twice)."""
-    drawn = lambda j: F.transform(F.sequence(F.lit(1), F.lit(RARE_ROWS)), lambda k: F.element_at("samples", (F.pmod(F.xxhash64(j, k), F.lit(SAMPLES)) + 1).cast("int")))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(RARE - 1)), lambda j: F.xxhash64(-1 - j, drawn(j)))
-    return nodes.select("sid", F.explode(keys).alias("key"))
-
-
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -187,55 +178,43 @@ def _left_over(members: DataFrame, component: DataFrame, scratch: Scratch, name:
     pairs of nodes outside it with any node there are."""
     with_comp = scratch.put(members.join(component.hint("merge"), members["sid"] == component["node"], "left").select("key", "sid", F.coalesce("root", "sid").alias("comp")), f"{name}-all")
     mixed = with_comp.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
-    rows = scratch.put(with_comp.join(mixed.hint("merge"), "key"), f"{name}-rows")
+    rows = scratch.put(deal_join(with_comp, mixed, ["key"]), f"{name}-rows")
     scratch.drop(f"{name}-all")
     main = rows.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("all"))
     return rows, scratch.put(main.select("key", F.col("m.comp").alias("main"), ((F.col("all") - F.col("m.n")) * F.col("all")).alias("pairs")), f"{name}-main")
 
 
-def _cross_pairs(rows: DataFrame, main: DataFrame, fits: Column | None = None) -> DataFrame:
-    """The pairs of a bucket's nodes outside its main component with its nodes of other components. rows: (key, sid, comp, ...); fits: a
-    condition over the sides' further columns, named l_... and r_...."""
-    more = [c for c in rows.columns if c not in ("key", "sid", "comp")]
+def _cross_pairs(rows: DataFrame, main: DataFrame) -> DataFrame:
+    """The pairs of a bucket's nodes outside its main component with its nodes of other components. rows: (key, sid, comp)."""
     rows = rows.join(main.select("key", "main").hint("merge"), "key")
-    left = rows.where("comp != main").select("key", F.col("sid").alias("l"), F.col("comp").alias("lc"), *(F.col(c).alias(f"l_{c}") for c in more))
-    right = rows.select("key", F.col("sid").alias("r"), F.col("comp").alias("rc"), "main", *(F.col(c).alias(f"r_{c}") for c in more)).hint("merge")
+    left = rows.where("comp != main").select("key", F.col("sid").alias("l"), F.col("comp").alias("lc"))
+    right = rows.select("key", F.col("sid").alias("r"), F.col("comp").alias("rc"), "main").hint("merge")
     once = (F.col("lc") != F.col("rc")) & ((F.col("rc") == F.col("main")) | (F.col("l") < F.col("r")))
-    pairs = left.join(right, (left["key"] == right["key"]) & (once if fits is None else once & fits))
+    pairs = left.join(right, (left["key"] == right["key"]) & once)
     return pairs.select(*_ordered(F.col("l"), F.col("r"))).distinct()
 
 
-def _outward(crowd: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """crowd: (sid, comp). Adds n, parity and out: how many of a node's shingles stand in another component of the crowd too. A link to another
-    component has no more than that in common."""
-    each = crowd.join(sets.hint("merge"), "sid").select("sid", "comp", F.explode("fingerprints").alias("f"))
-    shared = each.groupBy("f").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("f")
-    out = each.join(shared.hint("merge"), "f").groupBy("sid").agg(F.count("*").alias("out"))
-    crowd = crowd.join(nodes.select("sid", "n").hint("merge"), "sid").join(sets.select("sid", "parity").hint("merge"), "sid")
-    return crowd.join(out.hint("merge"), "sid")
-
-
-def _reaches(out: Column, n: Column, other: Column) -> Column:
-    """Whether ``out`` common shingles can link sets of n and other."""
-    return F.lit(100 + PERCENT) * out >= F.lit(PERCENT) * (n + other)
-
+def _crowd_pairs(crowd: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
+    """crowd: (sid, comp). All pairs of its nodes in different components that can be linked, by prefix filter.
 
-def _crowd_pairs(rows: DataFrame, main: DataFrame, nodes: DataFrame, component: DataFrame, docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
-    """The pairs of the buckets that have more than CROWD. Nodes that share too little with other components to be linked even to
-    the bucket's smallest set go first; that is exact. The others meet again by rare keys."""
-    rows = scratch.put(rows.join(main.where(F.col("pairs") > CROWD).select("key").hint("merge"), "key"), "crowd-rows")
-    crowd = scratch.put(rows.select("sid", "comp").distinct(), "crowd")
+    A link takes PERCENT of either set's shingles. So a node with fewer shingles that stand in another component too is linked with nothing there, and if
+    it has ``spare`` more than that, two linked sets share one of their first spare + 1 in any common order; here rare ones come first."""
     sets = scratch.put(whole_sets(docs, key, text, nodes.select("sid", "_at").join(crowd.select("sid").hint("merge"), "sid")), "crowd-sets")
-    sized = scratch.put(_outward(crowd, sets, nodes), "sized")
-    scratch.drop("crowd-sets")
-    inside = rows.join(sized.select("sid", "n", "out").hint("merge"), "sid")
-    smallest = inside.groupBy("key").agg(F.min("n").alias("smallest"))
-    able = inside.join(smallest.hint("merge"), "key").where(_reaches(F.col("out"), F.col("n"), F.col("smallest"))).select("sid").distinct()
-    rare_rows, rare_main = _left_over(_rare_keys(nodes.join(able.hint("merge"), "sid")), component, scratch, "rare")
-    rare_rows = rare_rows.join(sized.select("sid", "n", "out", "parity").hint("merge"), "sid")
+    own = crowd.join(sets.hint("merge"), "sid")
+    each = own.select("sid", "comp", F.explode("fingerprints").alias("f"))
+    shared = each.groupBy("f").agg(F.count("*").alias("df"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("f", "df")
+    linking = deal_join(each.select("sid", "f"), shared, ["f"]).groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("df", "f"))).alias("rare"))
+    sized = linking.join(own.select("sid", "comp", F.size("fingerprints").alias("n"), "parity").hint("merge"), "sid")
+    spare = F.size("rare") - F.ceil(F.lit(PERCENT) * F.col("n") / 100).cast("int")
+    prefix = F.transform(F.slice("rare", F.lit(1), spare + 1), lambda x: x["f"])
+    able = scratch.put(sized.where(spare >= 0).select("sid", "comp", "n", "parity", prefix.alias("prefix")), "able")
+    side = lambda p: able.select(F.explode("prefix").alias("f"), *(F.col(c).alias(f"{p}_{c}") for c in ("sid", "comp", "n", "parity")))
     apart = reduce(operator.add, (F.bit_count(F.col("l_parity")[k].bitwiseXOR(F.col("r_parity")[k])) for k in range(PARITY_WORDS)))
     near = F.lit(100 + PERCENT) * apart <= F.lit(100 - PERCENT) * (F.col("l_n") + F.col("r_n"))
-    return _cross_pairs(rare_rows, rare_main, _reaches(F.least("l_out", "r_out"), F.col("l_n"), F.col("r_n")) & near)
+    sizes = F.lit(100) * F.least("l_n", "r_n") >= F.lit(PERCENT) * F.greatest("l_n", "r_n")
+    left, right = side("l"), side("r").withColumnRenamed("f", "g").hint("merge")
+    pairs = left.join(right, (F.col("f") == F.col("g")) & (F.col("l_sid") < F.col("r_sid")) & (F.col("l_comp") != F.col("r_comp")) & sizes & near)
+    return pairs.select(F.col("l_sid").alias("a"), F.col("r_sid").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,19 +232,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     buckets = _keys(nodes)
     shared = buckets.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    members = scratch.put(buckets.join(shared.hint("merge"), "key"), "members")
-    # The hub of a bucket is its node that meets others most often: the text from which the copies come, if it is there.
-    meets = members.groupBy("sid").agg(F.sum(F.col("m") - 1).alias("meets"))
-    hubs = members.join(meets.hint("merge"), "sid").groupBy("key").agg(F.max(F.struct("meets", "sid")).alias("hub")).select("key", F.col("hub.sid").alias("hub"))
-    stars = members.join(hubs.hint("merge"), "key").where("sid != hub").select(*_ordered(F.col("hub"), F.col("sid"))).distinct()
+    members = scratch.put(deal_join(buckets, shared, ["key"]), "members")
+    # The hub of a bucket is its node that meets others most often: the text from which the copies come, if it is there. A node has BANDS keys at most.
+    meets = members.groupBy("sid").agg(F.sum(F.col("m") - 1).alias("meets"), F.collect_list("key").alias("keys")).select("sid", "meets", F.explode("keys").alias("key"))
+    hubs = meets.groupBy("key").agg(F.max(F.struct("meets", "sid")).alias("hub")).select("key", F.col("hub.sid").alias("hub"))
+    stars = deal_join(members.select("key", "sid"), hubs, ["key"]).where("sid != hub").select(*_ordered(F.col("hub"), F.col("sid"))).distinct()
     first = scratch.put(_similar(stars, nodes), "first")
     links = _links(first, nodes, docs, key, text, scratch, "first")
     component = scratch.put(components(links, scratch, "stars"), "component")
 
     rows, main = _left_over(members.select("key", "sid"), component, scratch, "left")
     pairs = _cross_pairs(rows, main.where(F.col("pairs") <= CROWD))
-    if not main.where(F.col("pairs") > CROWD).isEmpty():
-        pairs = scratch.put(pairs.unionByName(_crowd_pairs(rows, main, nodes, component, docs, key, text, scratch)).distinct(), "pairs")
+    crowded = main.where(F.col("pairs") > CROWD).select("key")
+    if not crowded.isEmpty():
+        crowd = scratch.put(rows.join(crowded.hint("merge"), "key").select("sid", "comp").distinct(), "crowd")
+        pairs = scratch.put(pairs.unionByName(_crowd_pairs(crowd, nodes, docs, key, text, scratch)).distinct(), "pairs")
     second = scratch.put(_similar(pairs, nodes).join(first.select("a", "b"), ["a", "b"], "left_anti"), "second")
     more = _links(second, nodes, docs, key, text, scratch, "second")
     root = F.coalesce("root", "x")
@@ -274,12 +255,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     final = nodes.select("sid", "least").join(component.select(F.col("node").alias("sid"), "root").hint("merge"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("c1"))
     final = final.join(joined.hint("merge"), final["c1"] == joined["node"], "left").select("sid", "least", F.coalesce("root", "c1").alias("comp"))
     ids = final.groupBy("comp").agg(F.min("least").alias("_cid"))
-    of_set = scratch.put(final.join(ids.hint("merge"), "comp").select("sid", "_cid"), "ids")
-    for name in ("members", "first", "second", "left-rows", "left-main", "rare-rows", "rare-main", "crowd-rows", "crowd", "sized", "pairs"):
-        scratch.drop(name)
-    out = sketched.select("_key", "_fp", "n", "sid").join(of_set.hint("merge"), "sid", "left")
-    cid = F.when(F.col("sid").isNull(), F.col("_key")).otherwise(F.col("_cid"))
-    return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), cid.alias("component_id"), F.equal_null("_key", cid).alias("kept"), F.lower(F.hex("sid")).alias("set_id"), F.col("_fp").alias("text_fp"))
+    of_set = scratch.put(deal_join(final, ids, ["comp"]).select("sid", "_cid"), "ids")
+    scratch.drop("members", "first", "first-links", "second", "second-links", "left-rows", "left-main", "crowd", "crowd-sets", "able", "pairs", "component", "joined")
+    rows = sketched.select("_key", "_fp", "n", "sid")
+    # Empty documents have no set; they are linked with nothing, and kept apart from the join, where they would be one task's work.
+    out = rows.where("sid is not null").join(of_set.hint("merge"), "sid").unionByName(rows.where("sid is null").withColumn("_cid", F.col("_key")))
+    return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.col("_cid").alias("component_id"), F.equal_null("_key", "_cid").alias("kept"), F.lower(F.hex("sid")).alias("set_id"), F.col("_fp").alias("text_fp"))
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, scratch: Scratch, name: str) -> DataFrame:

@@ -20,8 +20,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
-from .media import batch_type
+from .common import Scratch, batch_type
 
 KINDS = ("email", "ip", "card", "phone", "id")
 MIN_CHARS, MIN_DIGITS = 6, 3

@@ -23,8 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
-from .media import batch_type
+from .common import Scratch, batch_type
 from .run_index import later_matches
 
 LENGTH = 100

@@ -23,8 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import words
-from .media import batch_type
+from .common import batch_type, words
 
 SAMPLE = 8_000
 MOST_WORDS = 150

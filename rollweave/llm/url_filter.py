@@ -20,7 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .media import batch_type
+from .common import batch_type
+
 
 #: (verdict, host and path); the longest that fits wins.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
