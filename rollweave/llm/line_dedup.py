@@ -1,13 +1,15 @@
 """Line dedup by content-defined chunks of lines. Native: DataFrame functions only.
 
-A text's lines (split at ``\\n``) are hashed to 28 bits; after a line at which the rolling hash of the last two line hashes is 0 modulo
-DIVISOR a chunk ends, so that boundaries depend on two lines of content only and come back in step after an insertion. A chunk of at
+A text's lines (split at ``\\n``) are hashed to 28 bits, and equal neighbouring lines make one run. After a run at which the rolling hash of its line and
+the last one before it, ``(h + FACTOR * before) mod PRIME``, is 0 modulo DIVISOR a chunk ends, so that boundaries depend on two different lines of content only
+and come back in step after an insertion. A run of several equal lines is a chunk of its own, as it has no two lines to choose from. A chunk of at
 least LEAST_LINES lines that isn't blank and stands anywhere earlier too is removed. Earlier means a smaller key (null last), or the same
 key and a smaller chunk number; of equal places all stay.
 
 First, only chunk hashes are shuffled, to find the repeated ones. Then the chunks with a repeated hash, and only they, travel with their
 text and are grouped by the text itself, so what is removed is equal byte by byte. All groupings aggregate before they shuffle, and what goes
-back to a document is a list of its own chunks. Joins with the documents are told to merge, so that they run alike at every size.
+back to a document is a list of its own chunks. Joins with the documents are told to merge, so that they run alike at every size, and joins with
+an aggregate are dealt anew, so that the places of a very common line or passage can be split.
 
 Chunks miss most short passages, as both their cuts must stand inside. ``drop_repeated_runs`` looks at each pair of consecutive lines that aren't
 blank (with the blank ones between) as well, by the same steps: all lines of a repeated run of two or more lines go, whatever cuts are near. A
@@ -18,9 +20,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, deal_join
 
 DIVISOR = 4
+#: Of the rolling hash. 28-bit hashes times the factor stay within 59 bits.
+FACTOR, PRIME = 1103515245, 2147483647
 LEAST_LINES = 2
 NOT_BLANK = r"[^ \t\n\x0B\f\r]"
 
@@ -36,12 +40,14 @@ def _split(own: DataFrame) -> DataFrame:
     lines = F.split(F.coalesce(F.col("_text"), F.lit("")), "\n", -1)
     own = own.select(*rest, F.inline(F.array(F.struct(lines.alias("lines")))))
     own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.transform("lines", line_hash).alias("h")))))
-    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("h", 1, F.size("h") - 1))
-    rolled = F.zip_with("h", before, lambda x, y: F.pmod(x * 31 + y, F.lit(DIVISOR)) == 0)
-    last = F.size("h") - 1
-    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), last.alias("last"), rolled.alias("rolled")))))
-    at = F.filter(F.transform("rolled", lambda x, i: F.when(F.coalesce(x, F.lit(False)), i)), lambda i: i.isNotNull())
-    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.array_distinct(F.concat(at, F.array("last"))).alias("ends")))))
+    stops = F.filter(F.transform("h", lambda x, i: F.when(~F.equal_null(x, F.get("h", i + 1)), i)), lambda i: i.isNotNull())
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.col("h"), stops.alias("stops")))))
+    long = F.transform("stops", lambda e, k: e - F.coalesce(F.get("stops", k - 1), F.lit(-1)) > 1)
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), F.transform("stops", lambda e: F.get("h", e)).alias("h"), F.col("stops"), long.alias("long")))))
+    rolled = lambda k: F.coalesce((F.get("h", k) + F.lit(FACTOR).cast("long") * F.get("h", k - 1)) % PRIME % DIVISOR == 0, F.lit(False))
+    cut = lambda k: F.get("long", k) | F.coalesce(F.get("long", k + 1), F.lit(True)) | rolled(k)
+    ends = F.filter(F.transform("stops", lambda e, k: F.when(cut(k), e)), lambda e: e.isNotNull())
+    own = own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), ends.alias("ends")))))
     begins = F.concat(F.array(F.lit(0)), F.transform(F.slice("ends", 1, F.size("ends") - 1), lambda x: x + 1))
     return own.select(*rest, F.inline(F.array(F.struct(F.col("lines"), begins.alias("begins"), F.col("ends")))))
 
@@ -68,7 +74,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, scratch: Scratch) -> D
     source = _source(docs, key, text)
     hashed = scratch.put(_chunks(_split(source)).select("_key", "_fp", "no", F.xxhash64("chunk").alias("h")), "hashed")
     repeated = hashed.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    suspects = scratch.put(hashed.join(repeated, "h").groupBy("_key", "_fp").agg(F.collect_set("no").alias("suspects")), "suspects")
+    suspects = scratch.put(deal_join(hashed, repeated, ["h"]).groupBy("_key", "_fp").agg(F.collect_set("no").alias("suspects")), "suspects")
     scratch.drop("hashed")
     marked = suspects.select(F.col("_key").alias("_skey"), F.col("_fp").alias("_sfp"), "suspects")
     joined = source.join(marked.hint("merge"), (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
@@ -77,7 +83,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, scratch: Scratch) -> D
     scratch.drop("suspects")
     place = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("no").alias("no"))
     first = texts.groupBy("chunk").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first != final").select("chunk", "first")
-    later = texts.join(first, "chunk").where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("no") != F.col("first.no")))
+    later = deal_join(texts, first, ["chunk"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("no") != F.col("first.no")))
     found = scratch.put(later.groupBy("_key", "_fp").agg(F.array_sort(F.collect_set("no")).alias("drop")), "drop")
     scratch.drop("texts")
     return found
@@ -108,7 +114,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, scratch: Scratch) -> Da
     source = _source(docs, key, text)
     hashed = scratch.put(_unit_texts(_units(_split(source)), True), "hashed")
     repeated = hashed.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    suspects = scratch.put(hashed.join(repeated, "h").groupBy("_key", "_fp").agg(F.collect_set("unit").alias("units")), "suspects")
+    suspects = scratch.put(deal_join(hashed, repeated, ["h"]).groupBy("_key", "_fp").agg(F.collect_set("unit").alias("units")), "suspects")
     scratch.drop("hashed")
     marked = suspects.select(F.col("_key").alias("_skey"), F.col("_fp").alias("_sfp"), "units")
     joined = source.join(marked.hint("merge"), (F.col("_fp") == F.col("_sfp")) & F.equal_null("_key", "_skey")).drop("_skey", "_sfp")
@@ -118,7 +124,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, scratch: Scratch) -> Da
     scratch.drop("suspects")
     place = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("a").alias("a"))
     first = texts.groupBy("pair", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first != final").select("pair", "chunk", "first")
-    later = texts.join(first, ["pair", "chunk"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("a") != F.col("first.a")))
+    later = deal_join(texts, first, ["pair", "chunk"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("a") != F.col("first.a")))
     found = scratch.put(later.groupBy("_key", "_fp").agg(F.collect_set("unit").alias("drop")), "drop")
     scratch.drop("texts")
     return found

@@ -108,8 +108,12 @@ from s join (select node, min(seen) as cid from r group by node) c on c.node = s
 _LINE_SQL = rf"""with t as (select doc_id, coalesce(text, '') as text, string_split(coalesce(text, ''), chr(10)) as ls from documents),
 l as (select doc_id, unnest(range(1, len(ls) + 1)) as i, unnest(ls) as line from t),
 h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h from l),
-b as (select *, coalesce((31 * h + lag(h) over (partition by doc_id order by i)) % {line_dedup.DIVISOR} = 0, false) as cut from h),
-n as (select *, coalesce(sum(cut::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as no from b),
+f as (select *, coalesce(h <> lag(h) over (partition by doc_id order by i), true)::int as fresh from h),
+q as (select *, sum(fresh) over (partition by doc_id order by i rows unbounded preceding) as run from f),
+r as (select doc_id, run, any_value(h) as h, count(*) as k from q group by 1, 2),
+b as (select *, k > 1 or coalesce(lead(k) over w, 2) > 1 or coalesce((h + {line_dedup.FACTOR}::bigint * lag(h) over w) % {line_dedup.PRIME} % {line_dedup.DIVISOR} = 0, false) as cut from r window w as (partition by doc_id order by run)),
+g as (select doc_id, run, coalesce(sum(cut::int) over (partition by doc_id order by run rows between unbounded preceding and 1 preceding), 0) as no from b),
+n as (select q.doc_id, i, line, no from q join g on q.doc_id = g.doc_id and q.run = g.run),
 c as (select doc_id, no, count(*) as lines, string_agg(line, chr(10) order by i) as chunk from n group by 1, 2),
 k as (select *, case when lines >= {line_dedup.LEAST_LINES} and regexp_matches(chunk, '[^ \t\n\x0B\f\r]') then row_number() over (partition by chunk, lines >= {line_dedup.LEAST_LINES} order by doc_id, no) > 1 else false end as gone from c)
 select doc_id, sum(lines)::bigint as n_lines, count(*)::bigint as n_chunks, count(*) filter (where gone)::bigint as n_removed,

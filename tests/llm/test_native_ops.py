@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import duckdb
@@ -13,7 +14,13 @@ from .conftest import make_docs
 
 def cuts(text):
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in text.split("\n")]
-    return {i for i in range(1, len(h)) if (31 * h[i] + h[i - 1]) % line_dedup.DIVISOR == 0} | {len(h) - 1}
+    runs = [(k, list(g)) for k, g in itertools.groupby(range(len(h)), key=h.__getitem__)]
+    out = {len(h) - 1}
+    for j, (x, own) in enumerate(runs):
+        follows = j + 1 < len(runs) and len(runs[j + 1][1]) > 1
+        if len(own) > 1 or follows or j and (x + line_dedup.FACTOR * runs[j - 1][0]) % line_dedup.PRIME % line_dedup.DIVISOR == 0:
+            out.add(own[-1])
+    return out
 
 
 def chunks(text):
@@ -115,6 +122,23 @@ def test_boundaries_come_back_in_step():
     assert {x + 1 for x in a if x > 1} <= b
 
 
+def test_runs_of_equal_lines_go(spark):
+    """Four documents share a run of six equal lines between lines of their own; it goes from all but the first."""
+    rows = [(k, f"first {k}\nsecond {k}\n" + "the same words again\n" * 6 + f"last {k}") for k in range(4)]
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(make_docs(spark, rows)).collect()}
+    assert out[0]["n_removed_lines"] == 0 and all(out[k]["n_removed_lines"] == 6 for k in (1, 2, 3))
+    assert all(out[k]["kept"] == f"first {k}\nsecond {k}\nlast {k}" for k in (1, 2, 3))
+
+
+def test_cuts_look_at_both_lines_whole():
+    """About one place in DIVISOR is a cut, and not just those at which two line hashes agree in their low bits."""
+    lines = [f"line {k * 7919 % 100_003}" for k in range(4000)]
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+    found = cuts("\n".join(lines))
+    assert abs(len(found) / len(lines) - 1 / line_dedup.DIVISOR) < 0.03
+    assert abs(sum(h[i] % 4 == h[i - 1] % 4 for i in found) / len(found) - 0.25) < 0.05
+
+
 def test_mix_hits_its_targets(spark):
     rows = [(k, f"{'w ' * (k % 17 + 1)}{'@' if k % 5 == 0 else ''}{' | ' if k % 7 == 0 else ''}") for k in range(3000)]
     docs = make_docs(spark, rows)
