@@ -4,15 +4,19 @@ The items' normalised words go into one token automaton. Documents stream throug
 longest match that ends at each word tell which windows end there. A window is 13 consecutive item words, or a whole item of fewer;
 words inside any occurrence of a window are hit. A document whose hit words reach a twentieth of its words is contaminated.
 
-Items are taken in blocks of at most BLOCK_WORDS words, read one after the other, so that a broadcast automaton is bounded whatever
-the benchmark's size; documents are scanned once for each block, and only if there are several blocks are the hits put together by a
-shuffle, and joined back to the rows. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
-words have no windows; repeated items are found under each of their ids; an empty benchmark hits nothing.
+Once built, an automaton is frozen into flat arrays: a state's first transition, link and length are 4-byte integers, and only further transitions stand in a
+dictionary. That takes some BYTES_A_WORD bytes a word of the benchmark in each worker, so that a block of BLOCK_WORDS words is bounded by some 160 MB. Items are
+taken in such blocks, read one after the other. Documents are scanned once for each block, and only if there are several blocks are the hits put together by a
+shuffle, and joined back to the rows. A block's broadcast lives as long as the DataFrame that scans it: Spark drops it once the plan is no longer
+referred to. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
+words have no windows; repeated items are found under each of their ids; an empty benchmark hits nothing. Repeated rows are rows like others, and
+further columns of any name don't matter.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -23,11 +27,15 @@ from .common import WORD_BYTES, batch_type, words
 WINDOW = 13
 #: A document is contaminated if SHARE * n_hit >= n_words.
 SHARE = 20
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 400_000
+#: Measured on random words, the worst case: vocabulary, states and item lists.
+BYTES_A_WORD = 400
 
 
 class SuffixAutomaton:
-    """Of several token sequences. next: by state its transitions; link: suffix links; length: of the state's longest string."""
+    """Of several token sequences. While it is built, next holds by state its transitions; then ``token`` and ``to`` hold the first one of each state and ``more``
+    the others. link: suffix links; length: of the state's longest string. found: by the state that holds its strings of window words, the items in which they
+    occur. short: by state, the (words, item) of the short items that end in it or in a state up its links."""
 
     def __init__(self, items: Iterable[tuple[object, Sequence[bytes]]], window: int = WINDOW):
         self.window = window
@@ -45,28 +53,31 @@ class SuffixAutomaton:
             if 0 < len(ids) < window:
                 shorts.append((key, len(ids), ids))
         order = sorted(range(1, len(self.next)), key=self.length.__getitem__)
-        #: By state: the items in which its strings of window words occur. Only states that hold a string of just that length need it.
-        self.holder = [-1] * len(self.next)
+        #: By state: the one that holds its strings of window words, -1 if they are shorter.
+        self.holder = array("i", [-1]) * len(self.next)
         for s in order:
             up = self.link[s]
             self.holder[s] = s if self.length[up] < window <= self.length[s] else self.holder[up] if self.length[up] >= window else -1
-        self.items: list[tuple] = [()] * len(self.next)
         gathered: dict[int, set] = {}
         for s, keys in ends.items():
             if (h := self.holder[s]) >= 0:
                 gathered.setdefault(h, set()).update(keys)
-        for s, keys in gathered.items():
-            self.items[s] = tuple(keys)
+        self.found: dict[int, tuple] = {s: tuple(keys) for s, keys in gathered.items()}
         own: dict[int, list[tuple[int, object]]] = {}
         for key, n, ids in shorts:
             s = 0
             for c in ids:
                 s = self.next[s][c]
             own.setdefault(s, []).append((n, key))
-        #: By state: (words, item) of the short items that end in it or in a state up its links.
-        self.short: list[tuple] = [()] * len(self.next)
-        for s in order:
-            self.short[s] = (*own.get(s, ()), *self.short[self.link[s]])
+        self.short: dict[int, tuple] = {}
+        for s in order if own else ():
+            if both := (*own.get(s, ()), *self.short.get(self.link[s], ())):
+                self.short[s] = both
+        first = [next(iter(t.items()), (-1, 0)) for t in self.next]
+        self.token, self.to = array("i", [c for c, _ in first]), array("i", [t for _, t in first])
+        self.more = {(s, c): t for s, own in enumerate(self.next) for c, t in own.items() if c != self.token[s]}
+        self.link, self.length = array("i", self.link), array("i", self.length)
+        del self.next
 
     def _extend(self, last: int, c: int) -> int:
         nexts, link, length = self.next, self.link, self.length
@@ -102,17 +113,18 @@ class SuffixAutomaton:
         """The hit spans [start, end) in order, merged, and the items that have a window here."""
         spans: list[tuple[int, int]] = []
         found: set = set()
-        nexts, link, length, window = self.next, self.link, self.length, self.window
-        s = n = 0
+        token, to, more, link, length, window = self.token, self.to, self.more, self.link, self.length, self.window
+        holder, short, s, n = self.holder, self.short, 0, 0
         for i, c in enumerate(map(self.vocabulary.get, tokens)):
             if c is None:
                 s = n = 0
                 continue
-            t = nexts[s].get(c)
-            while t is None and s:
+            while True:
+                t = to[s] if token[s] == c else more.get((s, c))
+                if t is not None or not s:
+                    break
                 s = link[s]
                 n = length[s]
-                t = nexts[s].get(c)
             if t is None:
                 n = 0
                 continue
@@ -120,12 +132,11 @@ class SuffixAutomaton:
             size = 0
             if n >= window:
                 size = window
-                found.update(self.items[self.holder[s]])
-            if self.short[s]:
-                for m, key in self.short[s]:
-                    if m <= n:
-                        size = max(size, m)
-                        found.add(key)
+                found.update(self.found.get(holder[s], ()))
+            for m, key in short.get(s, ()):
+                if m <= n:
+                    size = max(size, m)
+                    found.add(key)
             if size:
                 at = i + 1 - size
                 while spans and spans[-1][1] >= at:
