@@ -1,14 +1,18 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped context.
 
-Base spans come from four fixed patterns (email, ip, card, phone). They are the seeds of the bootstrap: what stands before a seed (its
+Base spans come from four fixed patterns (email, ip, card, phone). They are the seeds of the bootstrap: what stands before an identifier (its
 last two words) is a lexical pattern, and any identifier-like token (at least MIN_CHARS characters and MIN_DIGITS digits) is a
-possible instance of the pattern before it. Spark scores the bipartite graph of patterns and instances for ROUNDS rounds: a pattern
-is as good as the mean trust of its distinct instances, and an instance that isn't a seed gets the trust of the patterns that
-vouch for it (1 - product of 1 - score). Patterns of at least THRESHOLD with MIN_SEEDS distinct seeds then mark all their instances (kind ``id``).
+possible instance of the pattern before it. Spark scores the bipartite graph of patterns and instances for ROUNDS rounds. A pattern is as good as the mean
+trust of its distinct instances; an instance that isn't a seed gets the trust of the accepted patterns that vouch for it (1 - product of 1 - score). A pattern is
+accepted with a score of at least THRESHOLD and at least MIN_SEEDS distinct trusted instances: seeds, or ones whose own trust has reached the THRESHOLD, so
+what one round finds induces patterns in the next. The patterns accepted in the last round mark all their instances (kind ``id``). Scores are rounded, so that
+the order of a sum doesn't decide.
 
 Texts are read once, whole, to spans and candidates, written to the shared folder; the graph holds one row per distinct (pattern,
 instance), counted with partial aggregation, so neither a frequent pattern nor a frequent identifier gathers in one task.
-Offsets are code points, ends exclusive. Null counts as an empty text; rows are kept apart even if repeated.
+Offsets are code points, ends exclusive. Null counts as an empty text; rows are kept apart even if repeated, and count once in the graph, whose
+edges are distinct. Patterns with equal scores are alike: none is picked over another. Words of over MOST_WORD characters are no lexical words, so a place behind
+one has no pattern; that keeps patterns small and the scan linear in very long texts. An empty table gives an empty result; further columns don't matter.
 """
 
 from __future__ import annotations
@@ -20,19 +24,19 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch, batch_type
+from .common import Scratch, batch_type, deal_join
 
 KINDS = ("email", "ip", "card", "phone", "id")
 MIN_CHARS, MIN_DIGITS = 6, 3
 ROUNDS = 3
 THRESHOLD, MIN_SEEDS = 0.8, 3
-CONTEXT = 80
+MOST_WORD = 40
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TOKEN = _LOCAL | frozenset("/@:")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9][0-9.]*")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_PARTS = re.compile(r"([0-9]+)(\.*)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -59,14 +63,26 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def ips(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Leftmost matches of four dotted numbers in a run of digits and dots, parts at most 255; linear, as a match takes whole numbers."""
+    out, parts, k = [], list(_PARTS.finditer(text, start, end)), 0
+    while k + 3 < len(parts):
+        if all(len(p[2]) == 1 for p in parts[k : k + 3]):
+            numbers = [p[1].lstrip("0") or "0" for p in parts[k : k + 4]]
+            if all(len(n) <= 3 and int(n) <= 255 for n in numbers):
+                out.append((parts[k].start(), parts[k + 3].end(1)))
+            k += 4
+        else:
+            k += 1
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end), sorted."""
     out = [(a, 0, b) for a, b in emails(text)]
     for run in _NUMBERS.finditer(text):
         if run[0].count(".") >= 3:
-            for m in _IP.finditer(text, run.start(), run.end()):
-                if all(len(p) <= 3 and int(p) <= 255 for p in (x.lstrip("0") or "0" for x in m[0].split("."))):
-                    out.append((m.start(), 1, m.end()))
+            out += [(a, 1, b) for a, b in ips(text, run.start(), run.end())]
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19 and luhn(digits):
@@ -79,9 +95,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def context(text: str, start: int) -> str | None:
-    """The last two words before a place, lower-cased; null if there are none within CONTEXT characters."""
-    before = text[max(0, start - CONTEXT) : start].lower().split()[-2:]
-    return " ".join(before) or None
+    """The last two words before a place (one, if there is but one), lower-cased; null if there are none or one is longer than MOST_WORD."""
+    words, at = [], start
+    while len(words) < 2:
+        while at and text[at - 1].isspace():
+            at -= 1
+        end = at
+        while at and not text[at - 1].isspace():
+            at -= 1
+            if end - at > MOST_WORD:
+                return None
+        if at == end:
+            break
+        words.append(text[at:end].lower())
+    return " ".join(reversed(words)) or None
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str | None, str, bool]]:
@@ -127,19 +154,21 @@ def extract(docs: DataFrame, key: str, text: str) -> DataFrame:
                 cands.append([dict(zip(("s", "e", "pattern", "instance", "seed"), c, strict=True)) for c in candidates(own, base)])
             yield pa.RecordBatch.from_arrays([batch[0], batch[1].cast(batch_type(kind)), pa.array(spans, span), pa.array(cands, cand)], names=["_id", key, "_base", "_found"])
 
-    source = docs.select(F.monotonically_increasing_id().alias("_id"), F.col(key), F.col(text).cast("string"))
+    source = docs.select(F.monotonically_increasing_id().alias("_id"), F.col(key), F.col(text).cast("string"))  # written once, so ids don't change
     return source.mapInArrow(run, f"_id bigint, {key} {kind}, _base array<struct<s:int,k:int,e:int>>, _found array<struct<s:int,e:int,pattern:string,instance:string,seed:boolean>>")
 
 
-def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """edges: distinct (pattern, instance, seed). Returns (pattern, score, seeds)."""
+def score_patterns(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS, threshold: float = THRESHOLD, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """edges: distinct (pattern, instance, seed). Returns the accepted (pattern, score)."""
     trusted = edges.withColumn("trust", F.col("seed").cast("double"))
     for k in range(rounds):
-        scored = trusted.groupBy("pattern").agg(F.avg("trust").alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds"))
+        scored = trusted.groupBy("pattern").agg(F.round(F.avg("trust"), 9).alias("score"), F.count_if(F.col("trust") >= threshold).alias("sure"))
+        good = scratch.put(scored.where((F.col("score") >= threshold) & (F.col("sure") >= min_seeds)).select("pattern", "score"), f"good-{k}")
         if k + 1 < rounds:
-            vouch = edges.join(scored.where(f"seeds >= {MIN_SEEDS}"), "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("vouched"))
-            trusted = edges.join(vouch, "instance", "left").withColumn("trust", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vouched", F.lit(0.0)))).select("pattern", "instance", "seed", "trust")
-    return scored
+            vouch = edges.join(good.hint("merge"), "pattern").groupBy("instance").agg(F.round(1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999))))), 9).alias("vouched"))
+            # Instances that no accepted pattern vouches for have no trust; the sums need only those that have some, and all edges for the mean.
+            trusted = deal_join(edges, vouch, ["instance"], "left").withColumn("trust", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vouched", F.lit(0.0)))).select("pattern", "instance", "seed", "trust")
+    return good
 
 
 def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, threshold: float = THRESHOLD, min_seeds: int = MIN_SEEDS) -> DataFrame:
@@ -148,9 +177,9 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: i
     read = scratch.put(extract(docs, key, text), "read")
     found = read.select("_id", F.explode("_found").alias("c")).select("_id", "c.*").where("pattern is not null")
     edges = scratch.put(found.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    good = score_patterns(edges, rounds).where((F.col("score") >= threshold) & (F.col("seeds") >= min_seeds)).select("pattern")
-    added = found.where("not seed").join(good, "pattern").groupBy("_id").agg(F.collect_list(F.struct("s", F.lit(KINDS.index("id")).alias("k"), "e")).alias("_added"))
-    out = read.select("_id", key, "_base").join(added, "_id", "left")
+    good = score_patterns(edges, scratch, rounds, threshold, min_seeds).select("pattern")
+    added = found.where("not seed").join(good.hint("merge"), "pattern").groupBy("_id").agg(F.collect_list(F.struct("s", F.lit(KINDS.index("id")).alias("k"), "e")).alias("_added"))
+    out = read.select("_id", key, "_base").join(added.hint("merge"), "_id", "left")
     return out.select(key, F.col("_base").alias("base"), F.array_sort(F.concat("_base", F.coalesce("_added", F.array().cast("array<struct<s:int,k:int,e:int>>")))).alias("all"))
 
 

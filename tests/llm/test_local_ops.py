@@ -134,7 +134,7 @@ def brute_contamination(rows, items):
                     hit.update(range(i, i + len(g)))
                     found.add(key)
         out.append((k, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)))
-    return sorted(set(out), key=str)
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("most", [500_000, 40])
@@ -144,7 +144,7 @@ def test_contamination(spark, edge_docs, edge_rows, no_docs, most):
     bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
     items = [("" if k is None else k, t) for k, t in items]
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    out = dc.contamination(edge_docs, bench, block_words=most).select(*columns).distinct().collect()
+    out = dc.contamination(edge_docs, bench, block_words=most).select(*columns).collect()
     assert sorted(map(tuple, out), key=str) == brute_contamination(edge_rows, items)
     clean = {(r[0], r[1]) for r in brute_contamination(edge_rows, items) if not r[-1]}
     kept = dc.decontaminate(edge_docs, bench, block_words=most)
@@ -196,6 +196,22 @@ def test_automaton_finds_all_windows(items, text, window):
     assert {p for a, b in got[0] for p in range(a, b)} == hit and got[1] == found
 
 
+def test_automaton_is_bounded_by_its_words():
+    """The bytes that a worker holds for each word of a block, as the docstring says."""
+    import pickle
+    import random
+    import tracemalloc
+
+    draw = random.Random(1)
+    items = [(str(k), [b"w%d" % draw.randrange(20_000) for _ in range(50)]) for k in range(400)]
+    sent = pickle.dumps(dc.SuffixAutomaton(items))
+    tracemalloc.start()
+    held = pickle.loads(sent)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held.scan(items[7][1])[1] == {"7"} and size <= dc.BYTES_A_WORD * 400 * 50
+
+
 # Licenses
 
 
@@ -266,3 +282,56 @@ def test_pii_bootstrap(spark, edge_docs, edge_rows, no_docs):
     assert pii.find_pii(edge_docs).count() == len(edge_rows) and pii.find_pii(no_docs).collect() == []
 
 
+def brute_graph(rows, rounds=pii.ROUNDS):
+    """The ``id`` spans by plain dictionaries, and identifier-like tokens found by a plain scan."""
+    token = re.compile(r"[A-Za-z0-9._%+/@:-]+")
+    per, edges, seeds = [], {}, set()
+    for key, t in rows:
+        t = t or ""
+        base = brute_pii(t)
+        found = [(a, b, True) for a, _, b in base]
+        for m in token.finditer(t):
+            whole = m[0].strip("._%+-/@:")
+            a = m.start() + len(m[0]) - len(m[0].lstrip("._%+-/@:"))
+            if len(whole) >= 6 and sum(c in "0123456789" for c in whole) >= 3 and not any(x < a + len(whole) and a < y for x, _, y in base):
+                found.append((a, a + len(whole), False))
+        own = []
+        for a, b, seed in found:
+            before = t[:a].lower().split()[-2:]
+            if before and all(len(w) <= pii.MOST_WORD for w in before):
+                pattern, instance = " ".join(before), t[a:b].lower()
+                edges.setdefault(pattern, set()).add(instance)
+                if seed:
+                    seeds.add((pattern, instance))
+                own.append((a, b, seed, pattern))
+        per.append((key, own))
+    trust = {}
+    for _ in range(rounds):
+        score = lambda p: [1.0 if (p, i) in seeds else trust.get(i, 0.0) for i in edges[p]]  # noqa: B023, E731
+        good = {p: sum(x) / len(x) for p in edges if (x := score(p)) and sum(x) / len(x) >= pii.THRESHOLD and sum(v >= pii.THRESHOLD for v in x) >= pii.MIN_SEEDS}
+        trust = {}
+        for p, s in good.items():
+            for i in edges[p]:
+                trust[i] = 1 - (1 - trust.get(i, 0.0)) * (1 - min(s, 0.999))
+    return {key: sorted((a, b) for a, b, seed, p in own if not seed and p in good) for key, own in per}
+
+
+def test_found_identifiers_induce_patterns(spark, edge_rows):
+    """Seeds vouch for agent numbers; those, found, vouch for a pattern that no seed has. Very long words and lines of digits are no trouble."""
+    rows = [(k, f"bla bla write to u{k}@mail.example.com now and on") for k in range(30)]
+    rows += [(40 + k, f"please write to agent-0071{k}x soon") for k in range(5)]
+    rows += [(50 + k, f"the file of agent-0071{k}x is closed") for k in range(5)] + [(60, "the file of badge-99887 is closed"), (61, "another case number 123456 here")]
+    rows += [(62, "z" * 5000 + " agent-00711x"), (63, "1" * 20000 + "...1.2.3.4"), (64, None), (65, " " * 3000 + "file of badge-99887,agent-00710x")]
+    rows += [(100 + k, t) for k, (_, t) in enumerate(edge_rows)]
+    out = {r["doc_id"]: r for r in pii.find_pii(make_docs(spark, rows)).collect()}
+    want = brute_graph(rows)
+    assert {k: sorted((x["s"], x["e"]) for x in r["all"] if x["k"] == 4) for k, r in out.items()} == want
+    assert want[40] and want[50] and want[60] and not want[61] and not want[62]
+
+
+def test_ip_scan_is_linear():
+    import time
+
+    began = time.time()
+    assert pii.base_spans("1" * 400_000 + "....") == [] and pii.base_spans("1." * 200_000)[0] == (0, 1, 7)
+    assert time.time() - began < 10
