@@ -1,15 +1,18 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted in order by linear (logistic) models over word counts; each model also gets the log odds of the categories
+Categories are predicted in order by linear (logistic) models over word counts; each model also gets the probabilities of the categories
 before it. A later model is trained on out-of-fold predictions of the earlier ones, so that it sees them as wrong as they will be on
-new texts; in use it gets those of the models trained on all folds.
+new texts; in use it gets those of the models trained on all folds. A fold's predictions come from models that have seen none of it: their feature words are
+chosen from the other folds' counts too.
 
-Training takes at most SAMPLE labelled documents (those with the smallest hash of their id, a documented bound; repeated texts count
-once), whose words Spark counts by category; the MOST_WORDS words of largest chi-square of each category, if it is significant, are the features. So what the driver holds is
-bounded: SAMPLE rows of at most MOST_WORDS * categories counts. Every document is scored alone, as a whole, with no shuffle.
+Training takes at most SAMPLE labelled documents (those with the smallest hash of their id; repeated texts count once), read once and written to the shared
+folder. Spark counts their words by fold and category; the MOST_WORDS words of largest chi-square of each category, if it is significant, are a model's
+features. SAMPLE and MOST_WORDS are parameters of the fit: they bound what the driver holds to SAMPLE rows of some hundred counts. On the driver's labels
+(sf0.1, 8,574 rows) 150 words a category are more than are significant there, so that MOST_WORDS drops none. Every document is scored alone, as a whole, with no shuffle.
 
-A null or empty text has no words and gets the models' intercept. Labels that are null, or of unknown documents, don't count; of
-repeated labels the largest counts. With no labels, or one class only, a category's probability is that class's smoothed share.
+A null or empty text has no words and gets the models' intercept. Very long texts count like others, by their words. Labels that are null, or of unknown documents, don't
+count; of repeated labels the largest counts, and repeated documents are scored alike, each on its own row. Of words with equal chi-square the smaller one goes first.
+With no labels, or one class only, a category's probability is that class's smoothed share. Further columns of any name don't matter.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_type, words
+from .common import Scratch, batch_type, words
 
 SAMPLE = 8_000
 MOST_WORDS = 150
@@ -57,13 +60,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int
     return w
 
 
-def logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[:-1] + w[-1], -30, 30)
+def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
 @dataclass(frozen=True)
 class Chain:
-    """vocabulary: word to column; weights: by category, over the columns, the earlier categories' log odds and 1."""
+    """vocabulary: word to column; weights: by category, over the columns, the earlier categories' probabilities and 1."""
 
     categories: tuple[str, ...]
     vocabulary: dict[bytes, int]
@@ -80,25 +83,35 @@ class Chain:
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """[rows, categories] of probabilities."""
-        odds = np.zeros((len(x), 0))
+        p = np.zeros((len(x), 0))
         for w in self.weights:
-            odds = np.hstack([odds, logits(np.hstack([x, odds]), w)[:, None]])
-        return 1 / (1 + np.exp(-odds))
+            p = np.hstack([p, probability(np.hstack([x, p]), w)[:, None]])
+        return p
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> tuple[np.ndarray, ...]:
-    """y: [rows, categories]."""
-    weights, odds = [], np.zeros((len(x), 0))
+def _fit(x: np.ndarray, known: np.ndarray, y: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """A model over the columns that ``use`` names and the earlier categories' probabilities, ``known``; the other columns weigh nothing."""
+    w = np.zeros(x.shape[1] + known.shape[1] + 1)
+    at = np.concatenate([use, np.arange(x.shape[1], len(w))])
+    w[at] = fit_logistic(np.hstack([x[:, use], known]), y)
+    return w
+
+
+def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS, use: list[list[np.ndarray]] | None = None) -> tuple[np.ndarray, ...]:
+    """y: [rows, categories]. use[c][k]: the columns of category c chosen without fold k, last those chosen from all; without it, all columns.
+
+    known holds the out-of-fold probabilities of the categories so far. They, and not fitted ones, train the next model."""
+    use = use or [[np.arange(x.shape[1])] * (folds + 1)] * y.shape[1]
+    weights, known = [], np.zeros((len(x), 0))
     for c in range(y.shape[1]):
-        own = np.hstack([x, odds])
-        weights.append(fit_logistic(own, y[:, c]))
+        weights.append(_fit(x, known, y[:, c], use[c][folds]))
         if c + 1 < y.shape[1]:
             out = np.zeros(len(x))
             for k in range(folds):
                 held = fold == k
                 if held.any():
-                    out[held] = logits(own[held], fit_logistic(own[~held], y[~held, c]))
-            odds = np.hstack([odds, out[:, None]])
+                    out[held] = probability(np.hstack([x, known])[held], _fit(x[~held], known[~held], y[~held, c], use[c][k]))
+            known = np.hstack([known, out[:, None]])
     return tuple(weights)
 
 
@@ -107,15 +120,41 @@ def least_chi2(tested: int, level: float = LEVEL) -> float:
     return NormalDist().inv_cdf(level / max(1, tested) / 2) ** 2
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Chain:
-    """categories: name to SQL condition over the labels, in the chain's order."""
-    names = tuple(categories)
+def labelled(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: str, text: str, sample: int) -> DataFrame:
+    """(_key, _text, _y0, ..., _fold): at most ``sample`` labelled documents, repeated texts once, with their smallest key and largest labels."""
     flags = [F.max(F.coalesce(F.expr(c), F.lit(False)).cast("int")).alias(f"_y{k}") for k, c in enumerate(categories.values())]
     known = labels.where(" and ".join(f"({c}) is not null" for c in categories.values())).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(*flags)
     # At most `sample` rows of a few integers: a proven bound.
     chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)
     own = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).join(F.broadcast(chosen), "_key")
+    once = own.groupBy(F.coalesce("_text", F.lit("")).alias("_text")).agg(F.min("_key").alias("_key"), *(F.max(f"_y{k}").alias(f"_y{k}") for k in range(len(flags))))
+    return once.withColumn("_fold", F.pmod(F.xxhash64("_key", F.lit(1)), F.lit(FOLDS)).cast("int"))
+
+
+def choose_words(counts: DataFrame, totals: list, c: str, fold: int | None, tested: int, most: int) -> list[bytes]:
+    """The words that tell category c best, from all rows but fold's. counts: _word, n_<fold>, <category>_<fold>; totals: (fold, rows, positives...)."""
+    at = int(c[2:])
+    rest = [k for k in range(FOLDS) if k != fold]
+    n, p = (sum(t[i] for t in totals if t[0] in rest) for i in (1, 2 + at))
+    if not 0 < p < n:
+        return []
+    df, a = (sum((F.col(f"{x}_{k}") for k in rest), F.lit(0)).cast("double") for x in ("n", c))
+    chi2 = n * F.pow(F.col("a") * n - F.col("df") * p, 2) / (F.col("df") * (n - F.col("df")) * p * (n - p))
+    own = counts.select("_word", a.alias("a"), df.alias("df")).where((F.col("df") >= LEAST_DOCS) & (F.col("df") < n)).select("_word", F.round(chi2, 6).alias("_chi2"))
+    best = own.where(F.col("_chi2") >= least_chi2(tested)).orderBy(F.desc("_chi2"), "_word").limit(most)
+    return [bytes(w) for w, _ in best.collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: str = "doc_id", text: str = "text", sample: int = SAMPLE, most_words: int = MOST_WORDS) -> Chain:
+    """categories: name to SQL condition over the labels, in the chain's order."""
+    names = tuple(categories)
     columns = [f"_y{k}" for k in range(len(names))]
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.put(labelled(docs, labels, categories, key, text, sample), "sample")
+    totals = [tuple(r) for r in rows.groupBy("_fold").agg(F.count("*"), *(F.sum(c) for c in columns)).collect()]
+    if not totals:
+        scratch.drop("sample")
+        return Chain(names, {}, tuple(fit_logistic(np.zeros((0, k)), np.zeros(0)) for k in range(len(names))))
 
     def distinct_words(batches):
         for batch in batches:
@@ -125,38 +164,38 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], key: s
                 at += [i] * len(got)
                 found += got
             at = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *(batch[c].cast(pa.int32()).take(at) for c in columns)], names=["_word", *columns])
-
-    unique = own.groupBy(F.sha2(F.coalesce("_text", F.lit("")), 256).alias("_fp")).agg(F.min("_key").alias("_key"), F.count("*").alias("_n"), *(F.max(c).alias(c) for c in columns))
-    totals = unique.agg(F.count("*"), *(F.sum(c) for c in columns)).first()
-    n, positive = totals[0], [totals[k + 1] or 0 for k in range(len(names))]
-    if not n:
-        return Chain(names, {}, tuple(fit_logistic(np.zeros((0, k)), np.zeros(0)) for k in range(len(names))))
-    once = own.join(F.broadcast(unique.select("_key")), "_key")
-    counted = once.mapInArrow(distinct_words, "_word binary, " + ", ".join(f"{c} int" for c in columns)).groupBy("_word").agg(F.count("*").alias("_df"), *(F.sum(c).alias(c) for c in columns)).where(F.col("_df") >= LEAST_DOCS)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *(batch[c].take(at) for c in ("_fold", *columns))], names=["_word", "_fold", *columns])
+
+    each = rows.select("_text", "_fold", *columns).mapInArrow(distinct_words, "_word binary, _fold int, " + ", ".join(f"{c} int" for c in columns))
+    in_fold = lambda k, c: F.sum(F.when(F.col("_fold") == k, c).otherwise(0)).alias
+    sums = [in_fold(k, F.lit(1))(f"n_{k}") for k in range(FOLDS)] + [in_fold(k, F.col(c))(f"{c}_{k}") for k in range(FOLDS) for c in columns]
+    counts = scratch.put(each.groupBy("_word").agg(F.count("*").alias("_df"), *sums).where(F.col("_df") >= LEAST_DOCS), "counts")
+    tested = counts.count()
+    chosen = [[choose_words(counts, totals, c, k, tested, most_words) for k in (*range(FOLDS), None)] for c in columns]
     vocabulary: dict[bytes, int] = {}
-    least = least_chi2(counted.count())
-    for c, p in zip(columns, positive, strict=True):
-        if 0 < p < n:
-            a, df = F.col(c).cast("double"), F.col("_df").cast("double")
-            chi2 = n * F.pow(a * n - df * p, 2) / (df * (n - df) * p * (n - p))
-            best = counted.where(df < n).select("_word", chi2.alias("_chi2")).where(F.col("_chi2") >= least).orderBy(F.desc("_chi2"), "_word").limit(MOST_WORDS)
-            for w, _ in best.collect():
-                vocabulary.setdefault(bytes(w), len(vocabulary))
+    for w in (w for one in chosen for found in reversed(one) for w in found):
+        vocabulary.setdefault(w, len(vocabulary))
+    use = [[np.array(sorted(vocabulary[w] for w in found), int) for found in one] for one in chosen]
     chain = Chain(names, vocabulary, ())
 
-    def counts(batches):
+    def counted(batches):
         for batch in batches:
             x = chain.features(batch["_text"].to_pylist())
             cells = [np.flatnonzero(r) for r in x]
-            yield pa.RecordBatch.from_arrays([batch["_key"], pa.array([c.astype(np.int32) for c in cells], pa.list_(pa.int32())), pa.array([r[c] for r, c in zip(x, cells, strict=True)], pa.list_(pa.float64())), *(batch[c].cast(pa.int32()) for c in columns)], names=["_key", "_at", "_x", *columns])
+            yield pa.RecordBatch.from_arrays([batch["_key"], pa.array([c.astype(np.int32) for c in cells], pa.list_(pa.int32())), pa.array([r[c] for r, c in zip(x, cells, strict=True)], pa.list_(pa.float64())), *(batch[c] for c in (*columns, "_fold"))], names=["_key", "_at", "_x", *columns, "_fold"])
 
-    kind = dict(once.dtypes)["_key"]
-    rows = once.mapInArrow(counts, f"_key {kind}, _at array<int>, _x array<double>, " + ", ".join(f"{c} int" for c in columns)).withColumn("_fold", F.pmod(F.xxhash64("_key", F.lit(1)), F.lit(FOLDS))).orderBy("_key", "_at").collect()
-    x, y = np.zeros((len(rows), len(vocabulary))), np.array([[r[c] for c in columns] for r in rows], float).reshape(len(rows), len(names))
-    for i, r in enumerate(rows):
+    kind = dict(rows.dtypes)["_key"]
+    held = rows.mapInArrow(counted, f"_key {kind}, _at array<int>, _x array<double>, " + ", ".join(f"{c} int" for c in (*columns, "_fold"))).orderBy("_key", "_at").collect()
+    scratch.drop("sample", "counts")
+    x, y = np.zeros((len(held), len(vocabulary))), np.array([[r[c] for c in columns] for r in held], float).reshape(len(held), len(names))
+    for i, r in enumerate(held):
         x[i, r["_at"]] = r["_x"]
-    return Chain(names, vocabulary, fit_chain(x, y, np.array([r["_fold"] for r in rows])))
+    weights = fit_chain(x, y, np.array([r["_fold"] for r in held]), use=use)
+    # Words that only some folds chose weigh nothing in the final models.
+    final = sorted({k for one in use for k in one[FOLDS].tolist()})
+    by_column = {k: w for w, k in vocabulary.items()}
+    keep = lambda w: np.concatenate([w[final], w[len(vocabulary) :]])
+    return Chain(names, {by_column[k]: i for i, k in enumerate(final)}, tuple(map(keep, weights)))
 
 
 def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text") -> DataFrame:

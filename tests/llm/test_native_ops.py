@@ -249,3 +249,51 @@ def test_out_of_fold_predictions_feed_the_next_model():
     assert [len(w) for w in weights] == [4, 5]
     p = toxicity.Chain(("a", "b"), {b"x": 0, b"y": 1, b"z": 2}, weights).predict(x)
     assert ((p[:, 1] > 0.5) == y[:, 1]).mean() > 0.9
+
+
+def test_chain_matches_a_plain_one(spark):
+    """The trained chain against one written plainly: words chosen by dictionaries, models fitted by many small gradient steps."""
+    docs, labels, truth = labelled(spark, 300, 9)
+    chain = toxicity.train(docs, labels, CATEGORIES)
+    rows = sorted((r["doc_id"], r["text"].split()) for r in docs.collect())
+    fold = {r[0]: r[1] for r in docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id, 1), {toxicity.FOLDS})").collect()}
+    y = np.array([(1 - truth[k][0], truth[k][1]) for k, _ in rows], float)
+    df = {}
+    for _, t in rows:
+        for w in set(t):
+            df[w] = df.get(w, 0) + 1
+    tested = sum(n >= toxicity.LEAST_DOCS for n in df.values())
+
+    def words_of(c, without):
+        own = [(set(t), y[i, c]) for i, (k, t) in enumerate(rows) if fold[k] != without]
+        n, p = len(own), sum(v for _, v in own)
+        out = []
+        for w in df:
+            a, d = sum(v for t, v in own if w in t), sum(w in t for t, _ in own)
+            if toxicity.LEAST_DOCS <= d < n and round(n * (a * n - d * p) ** 2 / (d * (n - d) * p * (n - p)), 6) >= toxicity.least_chi2(tested):
+                out.append(w)
+        return sorted(out)
+
+    def fitted(x, t):
+        x = np.hstack([x, np.ones((len(x), 1))])
+        ridge = np.append(np.full(x.shape[1] - 1, toxicity.RIDGE), 1e-6)
+        w, rate = np.zeros(x.shape[1]), 1 / (0.25 * np.linalg.norm(x, 2) ** 2 + 1)
+        v, k = w.copy(), 0
+        for k in range(60_000):
+            new = v - rate * (x.T @ (1 / (1 + np.exp(-(x @ v))) - t) + ridge * v)
+            v, w = new + k / (k + 3) * (new - w), new
+        return lambda z: 1 / (1 + np.exp(-(np.hstack([z, np.ones((len(z), 1))]) @ w)))
+
+    x_of = lambda ws: np.log1p(np.array([[t.count(w) for w in ws] for _, t in rows], float).reshape(len(rows), len(ws)))
+    folds = np.array([fold[k] for k, _ in rows])
+    out = np.zeros(len(rows))
+    for k in range(toxicity.FOLDS):
+        x = x_of(words_of(0, k))
+        out[folds == k] = fitted(x[folds != k], y[folds != k, 0])(x[folds == k])
+    low, bad = x_of(words_of(0, None)), x_of(words_of(1, None))
+    p0 = fitted(low, y[:, 0])(low)
+    p1 = fitted(np.hstack([bad, out[:, None]]), y[:, 1])(np.hstack([bad, p0[:, None]]))
+    got = {r["doc_id"]: (r["p_low_quality"], r["p_toxic"]) for r in toxicity.score(docs, chain).collect()}
+    assert sorted(chain.vocabulary) == sorted(w.encode() for w in {*words_of(0, None), *words_of(1, None)})
+    assert max(abs(got[k][0] - a) for (k, _), a in zip(rows, p0, strict=True)) < 0.01
+    assert max(abs(got[k][1] - a) for (k, _), a in zip(rows, p1, strict=True)) < 0.02
