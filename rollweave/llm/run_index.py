@@ -1,10 +1,13 @@
 """A run-length index in numpy: a run-compressed Burrows-Wheeler transform with the suffix positions sampled at its run ends.
 
 It is made for many short, similar texts. Each text ends in a separator of its own, so no match crosses a text's end. Of the
-transform only the runs are kept, with the suffix positions of each run's first and last row. Matching statistics of the texts against each
-other are streamed in text order: how much a suffix shares with the one above it in suffix order falls by exactly one from a position
-to the next, unless the next one's row begins a run. So symbols are compared at run heads alone (with the last row of the run above), and
-the more the texts repeat, the fewer heads there are.
+transform only the runs are kept: their symbols, the suffix positions sampled at each run's first and last row, and how many symbols the suffix of
+its first row shares with the one above it. Neither the text nor the suffix order is kept; they are there only while the index is built.
+
+Rows within a run stay neighbours when both move one symbol back in the text. So of two neighbouring positions of the text, the second
+one's suffix has the next position above it, and shares one symbol less with it, unless a run begins at its row: the samples give both for every
+position. Matching statistics of the texts against each other are streamed from them in text order, and the more the texts repeat, the fewer
+samples there are. Symbols are compared at run heads alone, and there one by one.
 """
 
 from __future__ import annotations
@@ -52,73 +55,86 @@ def suffix_array(symbols: np.ndarray, width: int) -> np.ndarray:
     return order
 
 
+def suffix_rows(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, suffix positions in order, each text's start, its size). Separators are 0 to len(texts) - 1; bytes come after them."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1].astype(np.int64)
+    total = int((sizes + 1).sum())
+    text = np.empty(total, np.int64)
+    inside = np.ones(total, bool)
+    inside[starts + sizes] = False
+    text[~inside] = np.arange(len(texts))
+    text[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + len(texts)
+    return text, suffix_array(text, int(sizes.max(initial=0)) + 1), starts, sizes
+
+
 @dataclass(frozen=True)
 class RunIndex:
-    """text: all symbols; order: positions by suffix. symbols, head, tail: of each run its symbol and its first and last row's position."""
+    """By run, in the order of their heads' places in the text: symbol; head: its first row's position; above: the position of the row above that (the
+    last run's tail; -1 for the very first row); shared: the symbols that the two suffixes share. length: of the text, with separators."""
 
-    text: np.ndarray
-    order: np.ndarray
-    symbols: np.ndarray
+    symbol: np.ndarray
     head: np.ndarray
-    tail: np.ndarray
-    starts: np.ndarray
-    sizes: np.ndarray
+    above: np.ndarray
+    shared: np.ndarray
+    length: int
 
     @staticmethod
     def of(texts: Sequence[bytes]) -> RunIndex:
-        sizes = np.array([len(t) for t in texts], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1].astype(np.int64)
-        total = int((sizes + 1).sum())
-        # Separators are 0 to len(texts) - 1; bytes come after them.
-        text = np.empty(total, np.int64)
-        inside = np.ones(total, bool)
-        inside[starts + sizes] = False
-        text[~inside] = np.arange(len(texts))
-        text[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + len(texts)
-        order = suffix_array(text, int(sizes.max(initial=0)) + 1)
+        return RunIndex.compressed(*suffix_rows(texts)[:2])
+
+    @staticmethod
+    def compressed(text: np.ndarray, order: np.ndarray) -> RunIndex:
+        total = len(text)
         transform = text[order - 1]
         first = np.ones(total, bool)
         first[1:] = transform[1:] != transform[:-1]
         heads = np.flatnonzero(first)
-        tails = np.append(heads[1:], total) - 1
-        return RunIndex(text, order, transform[heads], order[heads], order[tails], starts, sizes)
-
-    def statistics(self) -> np.ndarray:
-        """By position: how many symbols its suffix shares with the one above it in suffix order."""
-        n = len(self.text)
-        shared = np.full(n, -1, np.int64)
-        mine, above = self.head[1:], self.tail[:-1]
-        count, live, k = np.zeros(len(mine), np.int64), np.arange(len(mine)), 0
+        head, above = order[heads], np.append(-1, order[heads[1:] - 1])
+        shared, live, k = np.zeros(len(heads), np.int64), np.arange(1, len(heads)), 0
         while len(live):
-            a, b = mine[live] + k, above[live] + k
-            live = live[(a < n) & (b < n)]
-            live = live[self.text[mine[live] + k] == self.text[above[live] + k]]
+            a, b = head[live] + k, above[live] + k
+            live = live[(a < total) & (b < total)]
+            live = live[text[head[live] + k] == text[above[live] + k]]
             k += 1
-            count[live] = k
-        shared[mine] = count
-        shared[self.head[:1]] = 0
-        last = np.maximum.accumulate(np.where(shared >= 0, np.arange(n), 0))
-        return shared[last] - (np.arange(n) - last)
+            shared[live] = k
+        by = np.argsort(head)
+        return RunIndex(transform[heads][by], head[by], above[by], shared[by], total)
+
+    def statistics(self) -> tuple[np.ndarray, np.ndarray]:
+        """By position: how many symbols its suffix shares with the one above it in suffix order, and that one's position (below 0 for the first row)."""
+        # Position 0 follows the last separator, a symbol of its own, so a run begins at its row.
+        run = np.repeat(np.arange(len(self.head)), np.diff(np.append(self.head, self.length)))
+        ahead = np.arange(self.length) - self.head[run]
+        return self.shared[run] - ahead, np.where(self.above[run] < 0, -1, self.above[run] + ahead)
 
 
 def later_matches(texts: Sequence[bytes], owner: np.ndarray, begin: np.ndarray, least: int) -> list[np.ndarray]:
     """For each text the offsets at which a string of ``least`` bytes starts that also starts at an earlier place of any text.
 
-    The place of offset k of text i is (owner[i], begin[i] + k); equal places aren't earlier.
+    The place of offset k of text i is (owner[i], begin[i] + k); equal places aren't earlier. Positions that share a string of ``least`` bytes are
+    neighbours in suffix order; each is linked with the one above it, and the links are followed by doubling to the first, where the least place is kept.
     """
     if not len(texts):
         return []
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1].astype(np.int64)
     index = RunIndex.of(texts)
-    same = index.statistics()[index.order] >= least
-    group = np.cumsum(~same) - 1
-    text_of = np.repeat(np.arange(len(texts)), index.sizes + 1)
-    offset = np.arange(len(index.text)) - index.starts[text_of]
-    place_owner, place_at = np.asarray(owner, np.int64)[text_of[index.order]], (np.asarray(begin, np.int64)[text_of] + offset)[index.order]
-    heads = np.flatnonzero(~same)
-    least_owner = np.minimum.reduceat(place_owner, heads)[group]
-    at = np.where(place_owner == least_owner, place_at, np.iinfo(np.int64).max)
-    least_at = np.minimum.reduceat(at, heads)[group]
-    late = index.order[(place_owner > least_owner) | (place_at > least_at)]
-    late.sort()
-    cuts = np.searchsorted(late, np.append(index.starts, len(index.text)))
+    shared, above = index.statistics()
+    text_of = np.repeat(np.arange(len(texts)), sizes + 1)
+    offset = np.arange(index.length) - starts[text_of]
+    place = (np.asarray(owner, np.int64)[text_of] << 34) + np.asarray(begin, np.int64)[text_of] + offset
+    linked = np.flatnonzero(shared >= least)
+    top = np.arange(index.length)
+    top[linked] = above[linked]
+    live = linked
+    while len(live):
+        further = top[top[live]]
+        moved = further != top[live]
+        top[live] = further
+        live = live[moved]
+    earliest = place.copy()
+    np.minimum.at(earliest, top[linked], place[linked])
+    late = np.flatnonzero(place > earliest[top])
+    cuts = np.searchsorted(late, np.append(starts, index.length))
     return [offset[late[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

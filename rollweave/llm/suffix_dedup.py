@@ -10,8 +10,13 @@ dealt by gram, and each task builds run-length indexes over its contexts, stream
 that start earlier in another context. A gram with more than CROWD contexts is split by the CUT bytes after and those before it: a string
 holds the one or the other.
 
+A part with more than MOST contexts even so (a very common passage of 66 bytes) isn't gathered in one task: its strings' 128-bit digests are grouped by Spark, the
+least place of each by partial aggregation.
+
 Hashes and places are shuffled, not texts; examples are as many as there are places where copies begin to differ. A task's index is bounded by the
-number of partitions, which follows the count of contexts. The text itself is shuffled twice, to its contexts and to its marks.
+number of partitions, which follows the count of contexts, and by MOST. The text itself is shuffled twice, to its contexts and to its marks.
+
+What an index marks has been compared byte by byte; equal contexts are equal by their gram's and their own 64-bit hashes, and the strings of very common parts by their digests.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch, batch_type
+from .common import Scratch, batch_type, deal_join
 from .run_index import later_matches
 
 LENGTH = 100
@@ -32,6 +37,8 @@ SIDE = LENGTH - GRAM
 #: A string's SIDE bytes beside the anchor hold at least CUT on one side.
 CUT = SIDE // 2
 CROWD = 256
+#: Contexts of one part that a task may hold.
+MOST = 5_000
 #: Contexts for each partition of the index step.
 CONTEXTS = 10_000
 #: Contexts for each run-length index in it, unless one key has more.
@@ -228,6 +235,27 @@ def _indexed(contexts: DataFrame, kind: str) -> DataFrame:
     return contexts.mapInArrow(run, f"_key {kind}, _fp bigint, begin int, end int")
 
 
+def _by_digest(contexts: DataFrame, kind: str) -> DataFrame:
+    """As _indexed, for parts of any size: every string of LENGTH bytes by its digest."""
+
+    def run(batches):
+        for batch in batches:
+            at, digests, places = [], [], []
+            for i, (begin, data) in enumerate(zip(batch[2].to_pylist(), batch[3].to_pylist(), strict=True)):
+                for k in range(len(data) - LENGTH + 1):
+                    at.append(i)
+                    digests.append(hashlib.blake2b(data[k : k + LENGTH], digest_size=16).digest())
+                    places.append(begin + k)
+            at = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch[0].take(at), batch[1].take(at), pa.array(places, pa.int32())], names=["digest", "_key", "_fp", "begin"])
+
+    strings = contexts.select("_key", "_fp", "begin", "data").mapInArrow(run, f"digest binary, _key {kind}, _fp bigint, begin int")
+    place = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("begin").alias("p"))
+    first = strings.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first != final").select("digest", "first")
+    later = deal_join(strings, first, ["digest"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("begin") != F.col("first.p")))
+    return later.select("_key", "_fp", "begin", (F.col("begin") + LENGTH).alias("end")).distinct()
+
+
 def repeated_spans(docs: DataFrame, key: str, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(_key, _fp, place) of the anchors whose whole context is covered, and (_key, _fp, begin, end) of further covered bytes."""
     source, kind = _source(docs, key, text), dict(docs.dtypes)[key]
@@ -236,11 +264,17 @@ def repeated_spans(docs: DataFrame, key: str, text: str, scratch: Scratch) -> tu
     at = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("place").alias("p"), F.col("_fp").alias("f"))
     classes = scratch.put(places.groupBy("gram", "context").agg(F.min(at).alias("first"), F.count("*").alias("m")), "classes")
     spread = classes.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
-    examples = classes.join(spread, "gram").select("gram", (F.col("c") > CROWD).alias("crowded"), F.col("first.k").alias("_key"), F.col("first.f").alias("_fp"), F.col("first.p").alias("place"))
+    examples = deal_join(classes, spread, ["gram"]).select("gram", (F.col("c") > CROWD).alias("crowded"), F.col("first.k").alias("_key"), F.col("first.f").alias("_fp"), F.col("first.p").alias("place"))
     contexts = scratch.put(_contexts(source, examples, kind), "contexts")
     parts = max(1, -(-contexts.count() // CONTEXTS))
-    spans = scratch.put(_indexed(contexts.repartition(parts, "part").sortWithinPartitions("part"), kind), "spans")
-    scratch.drop("contexts", "repeated")
+    large = scratch.put(contexts.groupBy("part").agg(F.count("*").alias("m")).where(F.col("m") > MOST).select("part"), "large")
+    if large.isEmpty():
+        spans = _indexed(contexts.repartition(parts, "part").sortWithinPartitions("part"), kind)
+    else:
+        rest = contexts.join(large.hint("merge"), "part", "left_anti")
+        spans = _indexed(rest.repartition(parts, "part").sortWithinPartitions("part"), kind).unionByName(_by_digest(contexts.join(large.hint("merge"), "part"), kind))
+    spans = scratch.put(spans, "spans")
+    scratch.drop("contexts", "repeated", "large")
     twice = classes.where("m > 1").select("gram", "context", "first")
     later = places.join(twice, ["gram", "context"]).where((F.col("_key").isNull() != F.col("first.n")) | ~F.equal_null("_key", F.col("first.k")) | (F.col("place") != F.col("first.p")))
     covered = scratch.put(later.groupBy("_key", "_fp").agg(F.collect_list("place").alias("places")), "covered")

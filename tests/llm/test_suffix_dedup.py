@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from rollweave.llm import run_index, suffix_dedup
@@ -41,12 +42,14 @@ def test_edges_match_brute_force(edge_docs, edge_rows):
     assert got(edge_docs) == brute(edge_rows)
 
 
-def test_crowded_grams_match_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("most", [5_000, 3])
+def test_crowded_grams_match_brute_force(spark, monkeypatch, most):
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("abcde") for _ in range(4))
     common = [" ".join(word() for _ in range(n)) for n in (8, 13, 30)]
     rows = [(k, " ".join(x for _ in range(6) for x in (word(), word(), draw.choice(common), word()))) for k in range(60)]
     monkeypatch.setattr(suffix_dedup, "CROWD", 4)
+    monkeypatch.setattr(suffix_dedup, "MOST", most)
     monkeypatch.setattr(suffix_dedup, "INDEXED", 20)
     monkeypatch.setattr(suffix_dedup, "CONTEXTS", 50)
     assert got(make_docs(spark, rows)) == brute(rows)
@@ -66,14 +69,16 @@ def test_kept_text_and_spans(edge_docs):
 @given(st.lists(st.text("ab", max_size=30), min_size=1, max_size=6), st.integers(1, 6))
 def test_run_index(texts, least):
     texts = [t.encode() for t in texts]
-    index = run_index.RunIndex.of(texts)
-    whole = [tuple(index.text[p:]) for p in index.order]
+    text, order, _, _ = run_index.suffix_rows(texts)
+    whole = [tuple(text[p:]) for p in order]
     assert whole == sorted(whole)
-    shared = index.statistics()[index.order]
-    for k in range(1, len(whole)):
-        same = next((j for j, (x, y) in enumerate(zip(whole[k], whole[k - 1], strict=False)) if x != y), min(len(whole[k]), len(whole[k - 1])))
-        assert shared[k] == same
-    assert len(index.symbols) <= len(index.order)
+    index = run_index.RunIndex.compressed(text, order)
+    shared, above = index.statistics()
+    for k, p in enumerate(order):
+        same = next((j for j, (x, y) in enumerate(zip(whole[k], whole[k - 1], strict=False)) if x != y), min(len(whole[k]), len(whole[k - 1]))) if k else 0
+        assert above[p] == (order[k - 1] if k else -1) and (not k or shared[p] == same)
+    transform = text[order - 1]
+    assert len(index.head) == len(index.above) == len(index.shared) == 1 + (transform[1:] != transform[:-1]).sum()
     late = run_index.later_matches(texts, np.arange(len(texts)), np.zeros(len(texts), int), least)
     seen = set()
     for i, t in enumerate(texts):
@@ -83,3 +88,11 @@ def test_run_index(texts, least):
                 want.append(p)
             seen.add(t[p : p + least])
         assert late[i].tolist() == want
+
+
+def test_the_index_is_run_compressed():
+    """Samples follow the number of different texts, not of copies."""
+    draw = random.Random(2)
+    texts = [bytes(draw.choice(b"abcdefgh") for _ in range(150)) for _ in range(5)]
+    few, many = run_index.RunIndex.of(texts), run_index.RunIndex.of(texts * 40)
+    assert many.length == 40 * few.length and len(many.head) < 2 * len(few.head) + 2 * 200
