@@ -5,7 +5,9 @@ compiled to a token automaton; a text has the license if the automaton accepts s
 there exactly and in order. Automata run as sets of live positions from each place where a template's first word stands, so a text
 costs its length plus its anchors. Base labels come from fixed phrases and always stay; the method adds the labels of accepted templates.
 
-Each text is handled alone and as a whole, with no shuffle; memory follows the longest text. Null counts as empty: no words, score 0.
+Each text is handled alone and as a whole, with no shuffle; memory follows the longest text. Null and empty texts have no words, no labels and score 0; repeated
+rows are judged alike, each on its own; of several runs that a template accepts any will do; an empty table gives an empty result, and further columns of
+any name don't matter.
 """
 
 from __future__ import annotations
@@ -21,15 +23,71 @@ from .common import batch_type, words
 #: Phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Wording of well-known grants, as marked templates. Case and punctuation don't count.
+#: The wording of well-known licenses and notices, as marked templates. Case and punctuation don't count.
+_BSD_GRANT = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met [[1]] redistributions of source code "
+    "must retain the above copyright notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of "
+    "conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+)
+_BSD_NAMES = "[[3]] neither the name of {{holder:1-12}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission "
+_BSD_DISCLAIMER = (
+    "this software is provided by {{who:1-10}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall {{who:1-10}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+_ISC_GRANT = "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+_ISC_DISCLAIMER = (
+    "the software is provided as is and {{who:1-8}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall "
+    "{{who:1-8}} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+    "negligence or other tortious action arising out of or in connection with the use or performance of this software"
+)
 TEMPLATES = (
     ("mit", "[[this work is]] released under the [[terms of the]] mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of {{what:1-12}} to deal in the {{what:1-3}} without restriction"),
+    (
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of {{what:1-12}} to deal in the {{what:1-3}} without restriction including without limitation the rights to "
+        "use copy modify merge publish distribute sublicense and or sell copies of the {{what:1-3}} and to permit persons to whom the {{what:1-3}} is furnished to do so subject to the following "
+        "conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the {{what:1-3}} the {{what:1-3}} "
+        "is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in "
+        "no event shall the {{holders:1-8}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the "
+        "{{what:1-3}} or the use or other dealings in the {{what:1-3}}",
+    ),
     ("apache-2.0", "licensed under the apache license [[version]] 2 0 [[the license]]"),
+    (
+        "apache-2.0-notice",
+        "licensed under the apache license version 2 0 the license you may not use {{what:1-4}} except in compliance with the license you may obtain a copy of the license at "
+        "[[http]] [[https]] [[www apache org licenses license 2 0]] unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
     ("gpl-3.0", "licensed under the gnu general public license [[as published by the free software foundation either]] version 3 [[of the license]]"),
     ("gpl-2.0", "licensed under the gnu general public license [[as published by the free software foundation either]] version 2 [[of the license]]"),
+    (
+        "gpl-notice",
+        "{{what:1-3}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]] general public license as published by the free software foundation "
+        "[[either]] version {{number:1-2}} of the license [[or at your option any later version]] {{what:1-3}} is distributed in the hope that it will be useful but without any warranty without even "
+        "the implied warranty of merchantability or fitness for a particular purpose see the gnu [[lesser]] [[affero]] general public license for more details",
+    ),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd-2-clause", _BSD_GRANT + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_GRANT + _BSD_NAMES + _BSD_DISCLAIMER),
+    ("isc", _ISC_GRANT.strip()),
+    ("isc-text", _ISC_GRANT + "provided that the above copyright notice and this permission notice appear in all copies " + _ISC_DISCLAIMER),
+    ("0bsd", _ISC_GRANT + _ISC_DISCLAIMER),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the {{authors:1-4}} be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions "
+        "[[1]] the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product "
+        "documentation would be appreciated but is not required [[2]] altered source versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] this "
+        "notice may not be removed or altered from any source distribution",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a "
+        "compiled binary for any purpose commercial or non commercial and by any means",
+    ),
     ("cc-by-nc-4.0", "licensed under [[a]] [[the]] [[creative commons]] {{cc:0-1}} by nc 4 0"),
     ("cc-by-sa-4.0", "licensed under [[a]] [[the]] [[creative commons]] {{cc:0-1}} by sa 4 0"),
     ("cc-by-4.0", "licensed under [[a]] [[the]] [[creative commons]] {{cc:0-1}} by 4 0"),
@@ -78,6 +136,9 @@ class TokenAutomaton:
                         todo.append(q)
             self.closed.append(frozenset(seen))
         self.first = {w for p in self.closed[0] for w, _ in self.step[p]}
+        #: The first mandatory word, and how many words can stand before it.
+        lead = next((p for p, s in enumerate(self.step) if s and s[0][0] is not None), 0)
+        self.first_fixed, self.reach = {w for q in self.closed[lead] for w, _ in self.step[q]}, lead
         #: A mandatory word, the longest, that a text must hold.
         self.key = max(words(re.sub(r"\[\[.*?\]\]|\{\{.*?\}\}", " ", template)), key=len)
 
@@ -100,21 +161,24 @@ class TokenAutomaton:
 def scan(text: str | None, phrases, templates: Sequence[TokenAutomaton]) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score."""
     tokens = words(text)
-    joined = b" " + b" ".join(tokens) + b" "
+    there = set(tokens)
     places, base = [], set()
     for phrase, label in phrases:
-        needle, at = b" " + b" ".join(words(phrase)) + b" ", -1
-        if needle == b"  ":
+        own, at = words(phrase), -1
+        if not own or not there.issuperset(own):
             continue
-        while (at := joined.find(needle, at + 1)) >= 0:
-            places.append(joined.count(b" ", 0, at))
-            base.add(label)
+        for _ in range(tokens.count(own[0])):
+            at = tokens.index(own[0], at + 1)
+            if tokens[at : at + len(own)] == own:
+                places.append(at)
+                base.add(label)
     labels, score = set(base), 1.0 if base else 0.0
     for t in templates:
-        if b" " + t.key + b" " not in joined:
+        if t.key not in there:
             continue
         if None in t.first:
-            anchors = range(len(tokens))
+            # Any word may begin it, so the run begins at most ``reach`` words before the first fixed word.
+            anchors = sorted({j for i, w in enumerate(tokens) if w in t.first_fixed for j in range(max(0, i - t.reach), i + 1)})
         else:
             anchors = [i for i, w in enumerate(tokens) if w in t.first]
         for i in anchors:

@@ -248,6 +248,86 @@ def test_license_automaton_matches_regex(text):
     assert (licenses.scan(text, (), [t])[5] == "x") == bool(want)
 
 
+def plain_license(text):
+    """(labels, score) by a regular expression for each template, and a recursion over its words for how far a run gets."""
+    tokens = WORD.findall(lowered(text))
+    joined = "".join(f" {w}" for w in tokens)
+    base = {label for phrase, label in licenses.PHRASES if f" {phrase} " in joined + " "}
+    labels, best = set(base), 1.0 if base else 0.0
+    for label, template in licenses.TEMPLATES:
+        regex, ops, skips = "", [], {}
+        for part in re.findall(r"\[\[.*?\]\]|\{\{.*?\}\}|[^ \[{]+", template):
+            begin = len(ops)
+            if part.startswith("[["):
+                own = part[2:-2].split()
+                regex += "(?:" + "".join(f" {w}" for w in own) + ")?"
+                ops += own
+                skips.setdefault(begin, []).append(len(ops))
+            elif part.startswith("{{"):
+                low, high = map(int, part[2:-2].split(":")[1].split("-"))
+                regex += f"(?: [^ ]+){{{low},{high}}}"
+                ops += [None] * high
+                for k in range(low, high):
+                    skips.setdefault(begin + k, []).append(begin + high)
+            else:
+                regex += f" {part}"
+                ops.append(part)
+        if re.search(f"{regex}(?= |$)", joined):
+            labels.add(label)
+        if max((w for w in re.sub(r"\[\[.*?\]\]|\{\{.*?\}\}", " ", template).split()), key=len) not in tokens:
+            continue
+        for i in range(len(tokens)):
+            seen, todo = set(), [(0, i)]
+            while todo:
+                p, j = todo.pop()
+                if (p, j) in seen:
+                    continue
+                seen.add((p, j))
+                todo += [(q, j) for q in skips.get(p, ())]
+                if p < len(ops) and j < len(tokens) and ops[p] in (None, tokens[j]):
+                    todo.append((p + 1, j + 1))
+            # A run that a leading gap alone lets begin anywhere only counts where the first word behind the gap stands.
+            lead = next(k for k, w in enumerate(ops) if w is not None)
+            if any(p > lead for p, _ in seen):
+                best = max(best, max(p for p, _ in seen) / len(ops))
+    return ",".join(sorted(labels)), best
+
+
+def test_shipped_templates_match_plain_ones():
+    import random
+
+    draw = random.Random(4)
+    automata = [licenses.TokenAutomaton(*t) for t in licenses.TEMPLATES]
+    texts = []
+    for _, template in licenses.TEMPLATES:
+        for _ in range(8):
+            out = []
+            for part in re.findall(r"\[\[.*?\]\]|\{\{.*?\}\}|[^ \[{]+", template):
+                if part.startswith("[["):
+                    out += part[2:-2].split() if draw.random() < 0.5 else []
+                elif part.startswith("{{"):
+                    low, high = map(int, part[2:-2].split(":")[1].split("-"))
+                    out += [draw.choice(["acme", "the", "software"]) for _ in range(draw.randint(low, high))]
+                else:
+                    out.append(part)
+            texts += [" ".join(["Some", "text."] + out + ["follows"]), " ".join(out[: draw.randrange(len(out))]), " ".join(w for w in out if draw.random() > 0.03)]
+    found = set()
+    for t in texts:
+        got, want = licenses.scan(t, licenses.PHRASES, automata)[5:], plain_license(t)
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-6, t
+        found.update(got[0].split(","))
+    assert {label for label, _ in licenses.TEMPLATES} <= found
+
+
+def test_license_scan_is_linear():
+    import time
+
+    automata = [licenses.TokenAutomaton(*t) for t in licenses.TEMPLATES]
+    began = time.time()
+    assert licenses.scan("mit license " * 200_000, licenses.PHRASES, automata)[1] == 200_000
+    assert time.time() - began < 30
+
+
 # Personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
