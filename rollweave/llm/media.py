@@ -1,12 +1,16 @@
 """Ogg media column: write, verify, reassemble, demultiplex, time-stamp.
 
-Any text or blob is kept as unsigned 8-bit mono samples in an Ogg container with two logical streams: the samples
-(1000-sample packets) and an index stream whose packets say where each second of samples starts. Reading verifies every page's
+Two operators. ``ogg_features`` keeps any text or blob as unsigned 8-bit mono samples in an Ogg container with two logical streams: the samples
+(1000-sample packets) and an index stream whose packets say where each second of samples starts; then it reads the stored file back. Reading verifies every page's
 checksum, puts packets together from the lacing values (across pages too), sorts them by serial number and derives each packet's
 time from the granule positions. Everything is a function of the payload, so equal payloads give equal files.
 
-A row is one file and is handled alone, with no shuffle. Null counts as an empty text; an empty text is stored as one padding unit.
-Memory is some multiples of the longest text.
+``ogg_streams`` reads a column of files from anywhere, damaged ones too: behind a page that is cut, has a wrong checksum or isn't one it looks for the next capture
+pattern, packets of which a page is missing are left out and counted, and what was wrong stands in an error column instead of ending the job.
+
+A row is one file and is handled alone, with no shuffle; repeated rows are handled alike, an empty table gives an empty result, further columns of any name don't
+matter. Null counts as an empty text, which is stored as one padding unit. Texts are taken as UTF-8, binary columns as they are.
+Memory is some multiples of the longest text or file.
 """
 
 from __future__ import annotations
@@ -57,7 +61,7 @@ class _Stream:
     def page(self, flags: int = 0) -> bytes:
         head = HEADER.pack(CAPTURE, 0, flags | CONTINUED * self.continued | FIRST * (self.seq == 0), self.granule, self.serial, self.seq, 0, len(self.lacing))
         raw = head + bytes(self.lacing) + b"".join(self.body)
-        self.seq, self.lacing, self.body, self.granule = self.seq + 1, bytearray(), [], NO_GRANULE
+        self.seq, self.lacing, self.body, self.granule, self.continued = self.seq + 1, bytearray(), [], NO_GRANULE, False
         return raw[:22] + struct.pack("<I", page_crc(raw)) + raw[26:]
 
     def add(self, packet: bytes, granule: int) -> Iterator[bytes]:
@@ -76,7 +80,6 @@ class _Stream:
                 break
         if len(self.lacing) == PAGE_SEGMENTS:
             yield self.page()
-            self.continued = False
 
 
 def encode(payload: bytes) -> bytes:
@@ -91,9 +94,8 @@ def encode(payload: bytes) -> bytes:
     return b"".join([*out, index.page(LAST), sound.page(LAST)])
 
 
-def pages(media: bytes) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
-    """(flags, granule, serial, sequence, lacing, body) of each page. Raises ValueError for a bad capture pattern, length or checksum."""
-    at = 0
+def pages(media: bytes, at: int = 0) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
+    """(flags, granule, serial, sequence, lacing, body) of each page from ``at`` on. Raises ValueError for a bad capture pattern, length or checksum."""
     while at < len(media):
         if len(media) < at + HEADER.size:
             raise ValueError(f"page at {at} ends early")
@@ -137,6 +139,116 @@ def demultiplex(media: bytes) -> tuple[dict[int, list[tuple[bytes, int]]], int]:
     return streams, n_pages
 
 
+#: How the first packet of a logical stream begins, by codec.
+CODECS = ((b"\x01vorbis", "vorbis"), (b"OpusHead", "opus"), (b"\x80theora", "theora"), (b"Speex   ", "speex"), (b"\x7fFLAC", "flac"), (b"fishead\0", "skeleton"), (b"\x01pcm8", "pcm8"), (b"\x01index", "index"))
+
+
+def seconds_of(codec: str | None, head: bytes):
+    """A function from granule positions to seconds, by the stream's first packet; None if the codec has no clock of its own or the packet is too short."""
+    try:
+        if codec == "opus":
+            skip = struct.unpack_from("<H", head, 10)[0]
+            return lambda g: max(0, g - skip) / 48000
+        if codec == "theora":
+            numerator, denominator = struct.unpack_from(">II", head, 22)
+            shift = (head[40] & 3) << 3 | head[41] >> 5
+            return (lambda g: ((g >> shift) + (g & (1 << shift) - 1)) * denominator / numerator) if numerator and denominator else None
+        rate = {
+            "vorbis": lambda: struct.unpack_from("<I", head, 12)[0],
+            "speex": lambda: struct.unpack_from("<I", head, 36)[0],
+            "flac": lambda: int.from_bytes(head[27:30], "big") >> 4 if len(head) >= 30 else 0,
+            "pcm8": lambda: struct.unpack_from("<I", head, 6)[0],
+            "index": lambda: RATE,
+        }.get(codec, lambda: 0)()
+    except (struct.error, IndexError):
+        return None
+    return (lambda g: g / rate) if rate else None
+
+
+def salvage(media: bytes) -> tuple[list[tuple[int, int, int, int, bytes, bytes]], list[str]]:
+    """The sound pages of any bytes, and what is wrong between them. After a fault the search goes on at the next capture pattern."""
+    found, wrong, at = [], [], 0
+    while at < len(media):
+        try:
+            page = next(pages(media, at))
+            found.append(page)
+            at += HEADER.size + len(page[4]) + len(page[5])
+        except ValueError as e:
+            wrong.append(str(e))
+            at = media.find(CAPTURE, at + 1)
+            if at < 0:
+                break
+    return found, wrong
+
+
+def streams_of(media: bytes | None) -> list[tuple]:
+    """(serial, codec, n_pages, n_packets, n_bytes, n_lost, first_seconds, last_seconds, sha256, error) of each logical stream, by serial number. Without any
+    sound page, one row with serial null. n_lost: packets left out since a page of theirs is missing, and n_bytes and sha256 are of the others."""
+    if not media:
+        return [(None, None, 0, 0, 0, 0, None, None, None, "no file" if media is None else "empty file")]
+    found, wrong = salvage(media)
+    if not found:
+        return [(None, None, 0, 0, 0, 0, None, None, None, "; ".join(wrong[:3]))]
+    by: dict[int, list[tuple]] = {}
+    for page in found:
+        by.setdefault(page[2], []).append(page)
+    out = []
+    for serial, own in sorted(by.items()):
+        packets, granules, part, lost, gaps, due = [], [], None, 0, [], own[0][3] if own[0][0] & FIRST else 0
+        for flags, granule, _, seq, lacing, body in own:
+            if seq != due:
+                gaps.append(f"pages {due} to {seq - 1} are missing" if seq > due else f"page {seq} comes after page {due - 1}")
+            if part is not None and (seq != due or not flags & CONTINUED):
+                lost, part = lost + 1, None
+            skipping = bool(flags & CONTINUED) and part is None
+            due, at = seq + 1, 0
+            for n in lacing:
+                part = (part or b"") + body[at : at + n]
+                at += n
+                if n < 255:
+                    if skipping:
+                        lost, skipping = lost + 1, False
+                    else:
+                        packets.append(part)
+                    part = None
+            if skipping:
+                part = None
+            if granule != NO_GRANULE:
+                granules.append(granule)
+        if part is not None:
+            lost += 1
+            gaps.append("the last packet doesn't end")
+        if not own[0][0] & FIRST:
+            gaps.insert(0, "the first page is missing")
+        if not own[-1][0] & LAST:
+            gaps.append("the stream doesn't end")
+        head = packets[0] if packets and own[0][0] & FIRST else b""
+        codec = next((name for mark, name in CODECS if head.startswith(mark)), None)
+        clock = seconds_of(codec, head)
+        first, last = (round(clock(g), 6) for g in (granules[0], granules[-1])) if clock and granules else (None, None)
+        said = "; ".join([*gaps[:3], *wrong[:3]]) or None
+        out.append((serial, codec, len(own), len(packets), sum(map(len, packets)), lost, first, last, hashlib.sha256(b"".join(packets)).hexdigest(), said))
+    return out
+
+
+STREAMS = "serial bigint, codec string, n_pages bigint, n_packets bigint, n_bytes bigint, n_lost bigint, first_seconds double, last_seconds double, packets_sha256 string, error string"
+
+
+def ogg_streams(files: DataFrame, media: str = "media", key: str = "doc_id") -> DataFrame:
+    """One row per file and logical stream: ``key`` and the columns of STREAMS; one row with serial null for a file without any sound page, null and empty ones too."""
+    kind = dict(files.dtypes)[key]
+    names = [key, *(x.split()[0] for x in STREAMS.split(", "))]
+    types = [batch_type(x.split()[1]) for x in STREAMS.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            rows = [(i, *r) for i, value in enumerate(batch[1]) for r in streams_of(value.as_py())]
+            cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([batch[0].take(pa.array(cols[0], pa.int64())), *(pa.array(c, t) for c, t in zip(cols[1:], types, strict=True))], names=names)
+
+    return files.select(F.col(key), F.col(media).cast("binary")).mapInArrow(run, f"{key} {kind}, {STREAMS}")
+
+
 def timestamps(packets: list[tuple[bytes, int]], rate: int = RATE) -> list[tuple[int, float]]:
     """(first sample, seconds) of each sample packet. Pages carry the position after their last packet; the others follow backwards by length."""
     ends, due = [0] * len(packets), None
@@ -153,8 +265,10 @@ def timestamps(packets: list[tuple[bytes, int]], rate: int = RATE) -> list[tuple
 def decode(media: bytes) -> tuple[bytes, str]:
     """The payload read back, and a feature string: streams, pages, packets, duration, last packet's time, mean, peak, zero crossings."""
     streams, n_pages = demultiplex(media)
-    sound = next(s for s in streams.values() if s[0][0].startswith(b"\x01pcm8"))
-    index = next(s for s in streams.values() if s[0][0].startswith(b"\x01index"))
+    kinds = {s[0][0][:5]: s for s in streams.values() if s}
+    if {b"\x01pcm8", b"\x01inde"} - set(kinds):
+        raise ValueError("no streams of samples and index")
+    sound, index = kinds[b"\x01pcm8"], kinds[b"\x01inde"]
     rate, length = struct.unpack_from("<IQ", sound[0][0], 6)
     times = timestamps(sound[1:], rate)
     payload = b"".join(data for data, _ in sound[1:])
@@ -175,23 +289,27 @@ def decode(media: bytes) -> tuple[bytes, str]:
 SCHEMA = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _row(text: str | None) -> tuple:
-    data = (text or "").encode()
+def _bytes(value: str | bytes | None) -> bytes:
+    return value if isinstance(value, bytes) else (value or "").encode()
+
+
+def _row(data: bytes) -> tuple:
     media = encode(pad(data))
     back, feature = decode(media)
     return len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature
 
 
 def ogg_features(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_media: bool = False) -> DataFrame:
-    """One row per input row: ``key``, the columns of SCHEMA and, if asked for, the stored file as ``media``. Other columns don't matter."""
+    """One row per input row: ``key``, the columns of SCHEMA and, if asked for, the stored file as ``media``."""
     schema = f"{key} {dict(docs.dtypes)[key]}, {SCHEMA}" + ", media binary" * keep_media
-    names = [x.strip().split()[0] for x in schema.split(",")]
+    names = [key, *(x.split()[0] for x in SCHEMA.split(", ")), *["media"] * keep_media]
 
     def run(batches):
         for batch in batches:
-            rows = [(k, *_row(t), *([encode(pad((t or "").encode()))] if keep_media else [])) for k, t in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True)]
-            cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+            rows = [(*_row(d), *([encode(pad(d))] if keep_media else [])) for d in (_bytes(v.as_py()) for v in batch[1])]
+            cols = list(zip(*rows, strict=True)) or [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([batch[0], *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
-    types = [batch_type(t) for t in (dict(docs.dtypes)[key], "bigint", "bigint", "string", "bigint", "bigint", "string", "string", *["binary"] * keep_media)]
-    return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema)
+    types = [batch_type(t) for t in ("bigint", "bigint", "string", "bigint", "bigint", "string", "string", *["binary"] * keep_media)]
+    own = F.col(text) if dict(docs.dtypes)[text] == "binary" else F.col(text).cast("string")
+    return docs.select(F.col(key), own).mapInArrow(run, schema)

@@ -73,6 +73,100 @@ def test_ogg_query_edges(edge_docs, edge_rows, no_docs):
     assert media.ogg_features(no_docs).collect() == []
 
 
+def plain_ogg(file):
+    """A reader of its own: packets by serial number, number of pages, granule position of the last page by serial number. Checksums bit by bit."""
+    packets, open_, last, at, n = {}, {}, {}, 0, 0
+    while at < len(file):
+        assert file[at : at + 5] == b"OggS\0"
+        granule, serial = int.from_bytes(file[at + 6 : at + 14], "little", signed=True), int.from_bytes(file[at + 14 : at + 18], "little")
+        table = file[at + 27 : at + 27 + file[at + 26]]
+        end = at + 27 + len(table) + sum(table)
+        crc = 0
+        for b in file[at : at + 22] + bytes(4) + file[at + 26 : end]:
+            crc ^= b << 24
+            for _ in range(8):
+                crc = (crc << 1) ^ 0x104C11DB7 if crc >> 31 else crc << 1
+        assert crc == int.from_bytes(file[at + 22 : at + 26], "little")
+        at += 27 + len(table)
+        for size in table:
+            open_[serial] = open_.get(serial, b"") + file[at : at + size]
+            at += size
+            if size < 255:
+                packets.setdefault(serial, []).append(open_.pop(serial))
+        last[serial] = granule if granule >= 0 else last.get(serial)
+        n += 1
+    return packets, n, last
+
+
+def test_stored_files_by_a_plain_reader(spark, edge_rows):
+    texts = [t for _, t in edge_rows if len(t or "") < 4000] + ["é" * 5000]
+    for r in media.ogg_features(make_docs(spark, list(enumerate(texts))), keep_media=True).collect():
+        data = (texts[r["doc_id"]] or "").encode()
+        data += b" " * (-len(data) % 192 or (0 if data else 192))
+        packets, n_pages, last = plain_ogg(bytes(r["media"]))
+        sound = next(s for s, p in packets.items() if p[0].startswith(b"\x01pcm8"))
+        assert b"".join(packets[sound][1:]) == data and last[sound] == len(data)
+        crossings = sum((a < 128) != (b < 128) for a, b in zip(data, data[1:]))
+        want = f"streams=2;pages={n_pages};packets={sum(map(len, packets.values()))};seconds={len(data) / 8000:.4f};last={(len(data) - 1) // 1000 * 1000 / 8000:.4f};mean={sum(data) / len(data):.4f};peak={max(data)};crossings={crossings}"
+        assert r["feature"] == want and r["media_sha256"] == hashlib.sha256(bytes(r["media"])).hexdigest() and r["payload_sha256"] == hashlib.sha256(data).hexdigest()
+
+
+def test_files_from_anywhere(spark):
+    """Damaged, cut, foreign, empty and chained files: an error column, and what is sound is read."""
+
+    def file(serial, packets, granules):
+        s = media._Stream(serial)
+        out = []
+        for p, g in zip(packets, granules, strict=True):
+            out += [*s.add(p, g), s.page()]
+        return out
+
+    opus = b"OpusHead\x01\x02" + (312).to_bytes(2, "little") + bytes(7)
+    flac = b"\x7fFLAC\x01\0\0\x01fLaC" + bytes(4) + bytes(10) + (44100 << 4).to_bytes(3, "big") + bytes(5)
+    body = [b"a" * 70_000, b"b" * 300, b"c" * 10]
+    sound = file(7, [opus, *body], [0, 48312, 96312, 144312])
+    other = file(9, [flac, b"xyz"], [0, 44100])
+    whole = b"".join(sound + other)
+    cases = {
+        0: whole,
+        1: b"".join(sound[:2] + sound[3:] + other),  # a page in the middle of the long packet
+        2: whole[:40] + b"\xff" + whole[41:],  # damage in the first page
+        3: b"junk" + whole[:-5],
+        4: b"not an Ogg file",
+        5: b"",
+        6: None,
+        7: b"OggS",
+    }
+    files = spark.createDataFrame([(k, None if v is None else bytearray(v), "x") for k, v in cases.items()], "id smallint, media binary, error string")
+    rows = media.ogg_streams(files, key="id").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["id"], {})[r["serial"]] = r
+    a = got[0][7]
+    assert (a["codec"], a["n_packets"], a["n_bytes"], a["n_lost"], a["first_seconds"], a["last_seconds"]) == ("opus", 4, 70_310 + len(opus), 0, 0.0, 3.0)
+    assert a["packets_sha256"] == hashlib.sha256(opus + b"".join(body)).hexdigest() and a["error"] == "the stream doesn't end"
+    assert (got[0][9]["codec"], got[0][9]["last_seconds"]) == ("flac", 1.0)
+    assert got[1][7]["n_lost"] == 1 and got[1][7]["n_packets"] == 3 and "missing" in got[1][7]["error"] and got[1][9]["n_lost"] == 0
+    assert got[2][7]["codec"] is None and "checksum" in got[2][7]["error"] and got[2][9]["codec"] == "flac"
+    assert got[3][7]["n_packets"] == 4 and "no page at 0" in got[3][7]["error"] and got[3][9]["n_packets"] == 1
+    assert all(got[k][None]["error"] and got[k][None]["n_pages"] == 0 for k in (4, 5, 6, 7))
+    for bad in (b"", whole):
+        with pytest.raises(ValueError):
+            media.decode(bad)
+
+
+def test_blobs_and_keys_of_any_type(spark):
+    """Binary columns are stored as they are; keys may have any plain type."""
+    rows = [(1, bytearray(b"\xff\x00\xfe"), "a"), (None, None, "b")]
+    for kind in ("smallint", "decimal(12,2)", "date", "string", "timestamp", "boolean"):
+        docs = spark.createDataFrame(rows, "n int, text binary, error string")
+        docs = docs.selectExpr(f"cast({'timestamp_seconds(n)' if kind in ('date', 'timestamp') else 'n'} as {kind}) as doc_id", "text", "error")
+        out = media.ogg_features(docs, keep_media=True)
+        assert dict(out.dtypes)["doc_id"] == kind
+        by = {r["doc_id"] is None: r for r in out.collect()}
+        assert by[False]["n_bytes"] == 3 and media.decode(bytes(by[False]["media"]))[0] == b"\xff\x00\xfe" + b" " * 189 and by[True]["n_bytes"] == 0
+
+
 # URLs
 
 
