@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-# Words that make a name unusable, parent marks, noise suffixes, in their order. Locality words are a parameter.
-GARBAGE_TOKENS = (
+# Words that make a name unusable, parent marks, noise suffixes, in their order. Two locality words of the same list are left to the caller (``places``).
+_GARBAGE = (
     "BIRTH BIRTHDATE BIRTHPLACE BRITHDATE BRITHPLACE PLACE DATE AGE COUNTY STATE CITY SEX RACE GRADE GRADES NAME LAST FIRST MIDDLE RECORD RECORDS "
     "STUDENT PUPIL TEACHER COUNSELOR PARENT GUARDIAN ADDRESS PHONE OCCUPATION SCHOOL DISTRICT ROLL NUMBER REEL REDUCTION CERTIFICATE AUTHENTICITY "
     "DEPARTMENT PHOTOGRAPH COMMENTS OBSERVATIONS SUGGESTIONS SECONDARY ELEMENTARY WITHDREW WITHDRAWN WITHDRAWAL ENROLLED ENROLLMENT ENTRANCE TRANSFER "
     "TRANSFERRED GRADUATED DECEASED BEGAN ENDED RETURNED PROMOTED RETAINED LOST DISEASE ILLNESS ABSENT PRESENT ATTENDANCE ABSENCE ABSENCES PERMITS "
     "PERMIT AUTHORIZATION BIRTHDAY"
-).split()
+)
+GARBAGE_TOKENS = tuple(_GARBAGE.split())
 PARENT_PREFIXES = ("MR.", "MRS.", "MS.", "DR.", "MOTHER", "FATHER", "GUARDIAN", "PARENT", "STEPFATHER", "STEPMOTHER")
 NOISE_SUFFIXES = (" with", " COUNTY", " (LAST)", " (FIRST)", " (MIDDLE)")
 NAME_PATTERN = r"^[A-Za-z][A-Za-z'\-\. ,]{1,60}[A-Za-z\.]$"
@@ -28,6 +30,11 @@ def text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def bind(c: Column, use) -> Column:
+    """``use`` of the column's value, which is worked out once: a plain column that is used twice stands in the plan twice, and grows with every use on top."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def strip(c: Column) -> Column:
     """Trims all white space, not only blanks."""
     return F.regexp_replace(text(c), r"^\s+|\s+$", "")
@@ -56,19 +63,15 @@ def clean_name(c: Column) -> Column:
     """trim, leading quotes, trailing commas, then each noise suffix once, in order."""
     out = F.regexp_replace(F.regexp_replace(strip(c), "^['`\"]+", ""), r"[,\s]+$", "")
     for noise in NOISE_SUFFIXES:
-        out = F.when(F.endswith(out, F.lit(noise)), strip(F.left(out, F.length(out) - len(noise)))).otherwise(out)
+        out = F.regexp_replace(out, r"\s*\Q" + noise + r"\E\z", "")
     return strip(out)
 
 
 def valid_name(c: Column, places: tuple[str, ...] = ()) -> Column:
-    """at least 3 characters, the name pattern, no unusable word, no parent mark in front."""
-    own = clean_name(c)
-    tokens = F.regexp_extract_all(F.upper(own), F.lit(r"[A-Z]+"), F.lit(0))
-    garbage = F.arrays_overlap(tokens, F.array(*map(F.lit, (*GARBAGE_TOKENS, *places))))
-    parent = F.lit(False)
-    for p in PARENT_PREFIXES:
-        parent = parent | F.startswith(F.upper(own), F.lit(p))
-    return (F.length(own) >= 3) & F.rlike(own, F.lit(NAME_PATTERN)) & ~garbage & ~parent
+    """the name pattern (so at least 3 characters), no unusable word, no parent mark in front. One expression, so that the cleaned name is worked out once."""
+    parents = "|".join(re.escape(p) for p in PARENT_PREFIXES)
+    garbage = "|".join((*GARBAGE_TOKENS, *map(re.escape, places)))
+    return F.rlike(clean_name(c), F.lit(rf"(?s)^(?!(?i:{parents}))(?!.*(?<![A-Za-z])(?i:{garbage})(?![A-Za-z])){NAME_PATTERN.removeprefix('^')}"))
 
 
 def valid_dob(c: Column) -> Column:
@@ -85,30 +88,42 @@ def strip_digits(c: Column) -> Column:
     return F.regexp_replace(c, r"^\d+", "")
 
 
-def clean_gt(name: Column, roll: Column, sham_rolls: tuple[str, ...] = ("ROLL 003", "ROLL 005", "ROLL 006")) -> Column:
-    """struct(last, first, middle, drop_reason) of a ground-truth file name; the tests run in this order."""
+def clean_gt(name: Column, roll: Column, sham_rolls: tuple[str, ...] = ("ROLL 003", "ROLL 005", "ROLL 006"), whole_words: bool = False) -> Column:
+    """struct(last, first, middle, drop_reason) of a ground-truth file name; the tests run in this order.
+
+    whole_words: unusable words count as words only, so that a surname that holds one stays."""
+    garbage = "|".join(GT_GARBAGE)
+    garbage = rf"(?<![A-Z])(?:{garbage})(?![A-Z])" if whole_words else garbage
+    sham = norm(roll).isin(*sham_rolls)
+
+    def split(base: Column) -> Column:
+        comma = F.contains(base, F.lit(","))
+        words = F.split(F.when(comma, strip(F.regexp_extract(base, r"(?s)^[^,]*,(.*)$", 1))).otherwise(base), r"\s+")
+        return F.struct(F.when(comma, strip(F.regexp_extract(base, r"^([^,]*),", 1))).alias("last"), words.alias("words"))
+
+    def parts(x: Column) -> Column:
+        word = lambda k: text(F.try_element_at(x["words"], F.lit(k)))
+        rest = lambda k: F.array_join(F.slice(x["words"], k, F.size(x["words"])), " ")
+        comma = x["last"].isNotNull()
+        return F.struct(F.when(comma, x["last"]).otherwise(word(1)).alias("last"), F.when(comma, word(1)).otherwise(word(2)).alias("first"), F.when(comma, rest(2)).otherwise(rest(3)).alias("middle"))
+
+    def judged(stem: Column, x: Column) -> Column:
+        reason = (
+            F.when(sham, "sham_merge")
+            .when(F.rlike(stem, F.lit(r"(?i)\((?:LAST|FIRST|MIDDLE)\)")), "placeholder")
+            .when(F.rlike(F.upper(stem), F.lit(garbage)), "ocr_garbage")
+            .when(F.rlike(x["last"], F.lit(r"^\d+$")), "numeric_only")
+            .when(blank(strip_digits(x["last"])) | blank(strip_digits(x["first"])), "too_short")
+        )
+        return F.struct(x.alias("x"), reason.alias("drop_reason"))
+
+    def kept(y: Column) -> Column:
+        keep = lambda c: F.when(y["drop_reason"].isNull(), F.upper(c))
+        return F.struct(keep(strip_digits(y["x"]["last"])).alias("last"), keep(strip_digits(y["x"]["first"])).alias("first"), keep(y["x"]["middle"]).alias("middle"), y["drop_reason"].alias("drop_reason"))
+
     stem = strip(F.regexp_replace(name, r"(?i)\.pdf$", ""))
-    garbage = F.lit(False)
-    for g in GT_GARBAGE:
-        garbage = garbage | F.contains(F.upper(stem), F.lit(g))
-    base = strip(F.regexp_replace(stem, r"_\d+$", ""))
-    comma = F.contains(base, F.lit(","))
-    after = strip(F.regexp_extract(base, r"^[^,]*,(.*)$", 1))
-    words = F.split(F.when(comma, after).otherwise(base), r"\s+")
-    word = lambda k: text(F.try_element_at(words, F.lit(k)))
-    last = F.when(comma, strip(F.regexp_extract(base, r"^([^,]*),", 1))).otherwise(word(1))
-    first = F.when(comma, word(1)).otherwise(word(2))
-    middle = F.array_join(F.when(comma, F.slice(words, 2, 99)).otherwise(F.slice(words, 3, 99)), " ")
-    last2, first2 = strip_digits(last), strip_digits(first)
-    reason = (
-        F.when(norm(roll).isin(*sham_rolls), "sham_merge")
-        .when(F.rlike(stem, F.lit(r"(?i)\((?:LAST|FIRST|MIDDLE)\)")), "placeholder")
-        .when(garbage, "ocr_garbage")
-        .when(F.rlike(last, F.lit(r"^\d+$")), "numeric_only")
-        .when(blank(last2) | blank(first2), "too_short")
-    )
-    keep = lambda c: F.when(reason.isNull(), F.upper(c))
-    return F.struct(keep(last2).alias("last"), keep(first2).alias("first"), keep(middle).alias("middle"), reason.alias("drop_reason"))
+    found = bind(stem, lambda st: bind(strip(F.regexp_replace(st, r"_\d+$", "")), lambda b: bind(split(b), lambda w: bind(parts(w), lambda x: judged(st, x)))))
+    return bind(found, kept)
 
 
 @F.pandas_udf(StringType())
