@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -62,7 +63,7 @@ _open: list[Scratch] = []
 class Scratch:
     """Tables written to the shared folder, to cut lineage: what is lost with an executor is read again from there.
 
-    A table's shuffle files go once it is written. ``drop`` deletes a table that no later plan reads, and ``release`` what is left once the result,
+    A table's shuffle files go once it is written. ``drop`` deletes a table that no later plan reads, and ``temporary`` what is left once the result,
     which may read it, is stored elsewhere.
     """
 
@@ -89,9 +90,12 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession, *keep: Scratch) -> None:
-    """Deletes the scratch tables of this session's operators, but for ``keep``. For callers that have stored the operators' results."""
-    for one in [x for x in _open if x.spark is spark and x not in keep]:
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Deletes the scratch tables that operators open inside it, once their results have been stored elsewhere inside it too."""
+    before = list(_open)
+    yield
+    for one in [x for x in _open if x not in before]:
         one._delete(one.at)
         _open.remove(one)
 

@@ -5,19 +5,29 @@ shares of the sources, then of the languages, then of the topics. A document's p
 tokens, times a rate: the sample's expected token shares are the fitted weights. Probabilities over 1 mean repetition: the
 whole part counts as copies and the fraction is drawn. The draw is a hash of the key, so it doesn't depend on partitions.
 
-Targets are either given as {dimension: {value: share}} or are the observed shares tempered: share ** ALPHA, normed. Cells are one row
+Targets are either given as {dimension: {value: share}} or are the observed shares tempered: share ** ALPHA, normed. Every PASS rounds the largest gap between a
+fitted and a wanted share is measured: fitting ends once it is within TOLERANCE, and a gap of over REACHED after the last round (targets that the cells at
+hand can't meet together) is told by a warning, not passed over. Cells are one row
 each (their number is values * values * values, not documents), pre-aggregated before the shuffle. The join back deals documents by cell,
 so a hot cell is split by adaptive execution, or the cells are broadcast if Spark finds them small by their size.
+
+The topic is a column of the caller's, or a coarse one by marks in the text. Null texts have no tokens, nulls of a dimension count as the value ''; very long texts count
+whole; repeated rows draw alike, as the draw is a hash of the key; further columns stay in ``row``, whatever their names.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import Scratch
 
 ALPHA = 0.5
 ROUNDS = 12
+PASS = 4
+#: The largest gap of a share at which fitting ends, and the one that still counts as met.
+TOLERANCE, REACHED = 1e-13, 1e-4
 RATE = 0.5
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -35,11 +45,11 @@ def topic(text: Column) -> Column:
     return F.when(legal, "legal").when(F.contains(t, F.lit("@")), "contact").when(F.contains(t, F.lit(" | ")), "table").otherwise("prose")
 
 
-def tagged(docs: DataFrame, text: str) -> DataFrame:
-    """(row, source, lang, topic, tokens); nulls of a dimension count as ''."""
+def tagged(docs: DataFrame, text: str, by: Column | None = None) -> DataFrame:
+    """(row, source, lang, topic, tokens); nulls of a dimension count as ''. by: the topic, if not by marks."""
     side = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     own = F.col(text).cast("string")
-    return docs.select(F.struct(*docs.columns).alias("row"), side("source").alias("source"), side("lang").alias("lang"), topic(own).alias("topic"), n_tokens(own).alias("tokens"))
+    return docs.select(F.struct(*docs.columns).alias("row"), side("source").alias("source"), side("lang").alias("lang"), (topic(own) if by is None else F.coalesce(by.cast("string"), F.lit(""))).alias("topic"), n_tokens(own).alias("tokens"))
 
 
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None, alpha: float, rounds: int, total: int, scratch: Scratch) -> DataFrame:
@@ -63,23 +73,34 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None, alpha: f
         for d in DIMENSIONS:
             sums = F.sum("weight").over(Window.partitionBy(d))
             out = out.withColumn("_s", sums).withColumn("weight", F.when(F.col("_s") > 0, F.col("weight") * F.col(f"target_{d}") / F.col("_s")).otherwise(0.0)).drop("_s")
-        if k % 4 == 0 or k == rounds:
+        if k % PASS == 0 or k == rounds:
             out = scratch.put(out, f"rake-{k}")
+            gap = residual(out)
+            if gap <= TOLERANCE:
+                break
+    if rounds and gap > REACHED:
+        warnings.warn(f"a share is {gap:.2g} off its target after {rounds} rounds: the targets don't fit together", stacklevel=3)
     return out
 
 
+def residual(fitted: DataFrame) -> float:
+    """The largest gap between a value's fitted share and its target, over all dimensions."""
+    gaps = [fitted.groupBy(d).agg(F.abs(F.sum("weight") - F.first(f"target_{d}")).alias("gap")).select("gap") for d in DIMENSIONS]
+    return gaps[0].unionAll(gaps[1]).unionAll(gaps[2]).agg(F.max("gap")).first()[0] or 0.0
+
+
 def draw(key: Column) -> Column:
     """A number in [0, 1) that depends on the key alone: the first 52 bits of its MD5."""
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE, alpha: float = ALPHA, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE, alpha: float = ALPHA, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text", by: Column | None = None) -> DataFrame:
     """One row per input row: row (the input as a struct), source, lang, topic, tokens, expected (copies, rounded to 6 digits) and copies.
 
     Documents without tokens have no weight: expected and copies 0. Repeated rows draw alike. An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    own = tagged(docs, text)
+    own = tagged(docs, text, by)
     cells = scratch.put(own.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = rake(cells, targets, alpha, rounds, total, scratch)
@@ -92,6 +113,6 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rat
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The drawn documents once each, with all their columns and ``copies`` and ``expected``."""
+    """The drawn documents once each, with all their columns and ``copies`` and ``expected``, which replace columns of these names in the input."""
     mixed = mix(docs, **options).where("copies > 0")
     return mixed.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("copies", "expected")), "copies", "expected")

@@ -5,6 +5,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rollweave.llm import line_dedup, mixing, toxicity
 from rollweave.llm.queries import oracle_sql
@@ -153,6 +154,9 @@ def test_mix_hits_its_targets(spark):
             assert abs(sum(r["expected"] * r["tokens"] for r in mixed if r[d] == v) / mass - share) < 1e-3
     assert abs(sum(r["copies"] for r in mixed) - sum(r["expected"] for r in mixed)) < 4 * 3000**0.5
     assert all(0 <= r["copies"] - int(r["expected"]) <= 1 for r in mixed)
+    with pytest.warns(UserWarning, match="don't fit together"):
+        none = mixing.mix(docs, {"source": {"s0": 1.0}, "lang": {"xx": 1.0}}).collect()
+    assert sum(r["copies"] for r in none) == 0
     none = mixing.mix(docs, {"source": {"s9": 1.0}}).collect()
     assert sum(r["copies"] for r in none) == 0
 
@@ -165,6 +169,8 @@ def test_mix_edges(edge_docs, edge_rows, no_docs):
     for r in mixed:
         assert by.setdefault((r["row"]["doc_id"], r["row"]["text"]), r["copies"]) == r["copies"]
     drawn = mixing.sample(edge_docs)
+    clash = mixing.sample(edge_docs.selectExpr("*", "'mine' as copies", "doc_id % 2 as topic"), by=F.col("topic"))
+    assert clash.columns == [*edge_docs.columns, "topic", "copies", "expected"] and dict(clash.dtypes)["copies"] == "bigint" and clash.count()
     assert drawn.columns == [*edge_docs.columns, "copies", "expected"] and drawn.count() == sum(r["copies"] > 0 for r in mixed)
     assert mixing.mix(no_docs).collect() == []
 

@@ -37,3 +37,27 @@ def test_later_copies_leave_no_fragments(spark):
     assert not [r["doc_id"] for r in out.collect() if r["doc_id"] in copies and r["text"].strip()]
     mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, out, SF)
     assert not copies & {r["doc_id"] for r in mixed.collect()}
+
+
+def test_stages_on_odd_tables(spark, edge_docs, edge_rows, no_docs):
+    """Nulls, empty and long texts, ties, repeated rows, clashing columns; then no rows at all. Stages but the last return the columns of their input."""
+    for docs in (edge_docs, no_docs):
+        now = docs
+        for name, stage in corpus_pipeline.STAGES:
+            now = stage(spark, now, SF)
+            assert now.columns == [*docs.columns, *(["copies", "expected"] if name == "mixing" else [])]
+            now = now.cache()
+            assert now.count() <= docs.count()
+        left = {r["doc_id"] for r in now.collect()}
+        assert (22 in left) == (docs is edge_docs) and not {2, 3, 4} & left
+
+
+def test_scratch_tables_go(spark):
+    from pathlib import Path
+
+    from rollweave.llm.common import shared_dir
+
+    before = set(Path(f"{shared_dir(spark)}/rollweave").glob("*"))
+    assert corpus_pipeline.run(spark, SF).count()
+    left = [p.name for p in set(Path(f"{shared_dir(spark)}/rollweave").glob("*")) - before]
+    assert len(left) == 1 and left[0].startswith("pipeline-")
