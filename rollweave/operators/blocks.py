@@ -11,6 +11,11 @@ COVER_PHRASES = ("1. NAME", "STUDENT NAME", "DATE OF BIRTH", "PLACE OF BIRTH", "
 TEST_PHRASES = ("STATEWIDE", "ASSESSMENT PROGRAM", "STUDENT REPORT", "SSAT", "STANFORD", "ACHIEVEMENT TEST")
 INDEX_PHRASES = ("STUDENT RECORDS INDEX",)
 CERTIFICATE_PHRASES = ("CERTIFICATE OF AUTHENTICITY", "CERTIFICATE OF RECORD")
+# Words that are labels and no values; two locality words of the same list are left to the caller.
+LABEL_WORDS = (
+    "LAST", "FIRST", "MIDDLE", "NAME", "DOB", "BIRTH", "DATE", "PLACE", "BIRTHPLACE", "BIRTHDATE", "SCHOOL", "SEX", "RACE", "AGE", "GRADE", "ADDRESS", "PHONE", "PARENT", "MOTHER", "FATHER",
+    "GUARDIAN", "PUPIL", "STUDENT", "RECORD", "OF", "COUNTY", "ROLL", "NUMBER",
+)
 HINTS = (("last", ("LAST",)), ("first", ("FIRST",)), ("middle", ("MIDDLE",)), ("dob", ("DOB", "BIRTH")))
 
 
@@ -95,7 +100,9 @@ def grid_rows(cells: DataFrame, headers: DataFrame, fields: DataFrame, table: li
 
 
 def nearest_word(words: DataFrame, page: str, anchors: DataFrame, direction: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Words (page, id, text, top, left, width, height), anchors (page, a_id, a_top, a_left, a_width, a_height): the word nearest to the anchor."""
+    """Words (page, id, text, top, left, width, height), anchors (page, a_id, a_top, a_left, a_width, a_height): the word nearest to the anchor that
+    is no skipped word. skip: the words to leave out; without any, LABEL_WORDS."""
+    skip = skip or LABEL_WORDS
     if direction not in ("right", "below"):
         raise ValueError(f"unknown direction {direction}")
     both = words.join(anchors, page).where((F.col("id") != F.col("a_id")) & ~blank(F.col("text")) & ~F.upper("text").isin(*skip, ""))

@@ -1,4 +1,4 @@
-"""Votes, scorecards, samples, budgets, resuming."""
+"""Votes, scorecards, samples, budgets, resuming (A10, A14-A18, J8, J9, O6', O7, P13, P16, S12, W8-W10, X8, Z1, Z2, Z18, Z19, Z22-Z24)."""
 
 from __future__ import annotations
 
@@ -80,3 +80,71 @@ def review_reasons(rows: DataFrame, reasons: dict[str, Column]) -> DataFrame:
     """A row per reason that holds."""
     flags = F.array(*(F.when(c, F.lit(n)) for n, c in reasons.items()))
     return rows.withColumn("reason", F.explode(F.filter(flags, lambda x: x.isNotNull())))
+
+
+def to_pull(wanted: DataFrame, there: DataFrame, keys: list[str]) -> DataFrame:
+    """The frames that aren't there yet; how many were pulled is their count."""
+    return not_done(wanted, there, keys)
+
+
+def job_list(left: DataFrame, right: DataFrame, order: list[str], seed: int | None = None) -> DataFrame:
+    """Every pair of two fixed lists, numbered in order, or in an order drawn by a hash of the pair and a seed, so that a rerun draws alike."""
+    jobs = left.crossJoin(right)
+    by = [F.xxhash64(F.lit(seed), *order), *order] if seed is not None else order
+    return jobs.withColumn("job", F.row_number().over(Window.orderBy(*by)))
+
+
+def exportable(rows: DataFrame, is_index: Column, n_rows: Column, least: int = 3) -> DataFrame:
+    """Index frames with enough rows to be worth exporting."""
+    return rows.where(is_index & (n_rows >= least))
+
+
+def sample_names(rows: DataFrame, keys: list[str], frame: str, names: str, frames: int = 2, per_frame: int = 2, most: int = 4) -> DataFrame:
+    """O6': of each group's first index frames the first names that aren't blank. names: an array column."""
+    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(frame))).where(F.col("_rn") <= frames)
+    firsts = F.filter(F.slice(F.coalesce(names, F.array().cast("array<string>")), 1, per_frame), lambda n: F.coalesce(n != "", F.lit(False)))
+    listed = ranked.withColumn("_f", firsts).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rn", "_f"))).alias("_all"))
+    return listed.select(*keys, F.slice(F.flatten(F.transform("_all", lambda x: x["_f"])), 1, most).alias("sample_names"))
+
+
+def budget_guard(spend: DataFrame, keys: list[str], usd: str, ceiling: float) -> DataFrame:
+    """What each run has spent, and whether that reaches the ceiling (0: none)."""
+    out = spend.groupBy(*keys).agg(F.round(F.sum(usd), 6).alias("spent"))
+    return out.withColumn("halt", F.lit(ceiling > 0) & (F.col("spent") >= ceiling)).withColumn("left", F.greatest(F.lit(float(ceiling)) - F.col("spent"), F.lit(0.0)))
+
+
+def progress(pages: DataFrame, keys: list[str], done: Column, started: str, expected: DataFrame | None = None) -> DataFrame:
+    """Per roll the pages done, their share in percent, and the seconds to go at the pace so far. started: seconds since the roll began. expected: (keys, n) if not all pages are rows yet."""
+    out = pages.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(done).alias("done"), F.max(F.when(done, F.col(started))).alias("_at"))
+    if expected is not None:
+        out = out.drop("n").join(expected, keys, "right").fillna(0, ["done"])
+    share = F.round(100 * ratio(F.col("done"), F.col("n")), 2)
+    eta = F.round(F.try_divide(F.col("_at") * (F.col("n") - F.col("done")), F.col("done")), 3)
+    return out.select(*keys, "n", "done", share.alias("percent"), eta.alias("eta_seconds"))
+
+
+def gauges(pages: DataFrame, status: Column, usd: Column, review: Column, throttled: Column) -> DataFrame:
+    """Pages, cost, open reviews and throttles by status."""
+    return pages.groupBy(status.alias("status")).agg(F.count("*").alias("pages"), F.round(F.sum(F.coalesce(usd, F.lit(0.0))), 6).alias("usd"), F.count_if(review).alias("open_reviews"), F.count_if(throttled).alias("throttles"))
+
+
+def audit_errors(rows: DataFrame, keys: list[str], error: Column, at: str, n: int) -> DataFrame:
+    """The latest errors of each group, newest first."""
+    return top_n(rows.where(error), keys, [F.desc(at)], n)
+
+
+def audit_totals(rows: DataFrame, by: list[Column], usd: str, n: int | None = None) -> DataFrame:
+    """Calls and spend, in all, by model, by purpose or by roll; the dearest first and at most n, if asked for."""
+    out = rows.groupBy(*by).agg(F.count("*").alias("calls"), F.round(F.sum(usd), 2).alias("usd"))
+    return out if n is None else out.orderBy(F.desc("usd"), *by).limit(n)
+
+
+def template_hits(pages: DataFrame, templates: DataFrame, page: str, hash_column: str, most: int = 5) -> DataFrame:
+    """(page, template, bits): templates, a fixed list, whose 64-bit perceptual hash differs in at most so many bits."""
+    own = pages.select(page, F.col(hash_column).alias("_h")).crossJoin(F.broadcast(templates.select("template", F.col("template_hash").alias("_t"))))
+    return own.withColumn("bits", F.bit_count(F.col("_h").bitwiseXOR(F.col("_t")))).where(F.col("bits") <= most).select(page, "template", "bits")
+
+
+def blank_class(deviation: Column, at: Column, n: Column, limit: float = 8.0, head: int = 7, tail: int = 3) -> Column:
+    """A frame whose pixels hardly vary is a leader at the roll's ends and unknown inside it; null if they do vary."""
+    return F.when(deviation < limit, F.when((at <= head) | (at > n - tail), "roll_leader").otherwise("unknown"))

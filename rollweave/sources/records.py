@@ -1,4 +1,4 @@
-"""Explicit schemas, readers and sinks (S1-S17, K1-K10, D1-D14). Facts are read fail-fast; checkpoints drop malformed lines."""
+"""Explicit schemas, readers and sinks (S1-S11, S13-S17, S18 and S19 with an image library, J6, K1-K7, K10, D1-D14, P17). Facts are read fail-fast; checkpoints drop malformed lines. Writing is Spark's commit protocol: files come whole or not at all."""
 
 from __future__ import annotations
 
@@ -37,10 +37,66 @@ def read_checkpoint(spark: SparkSession, path: str, schema: str = PROBE) -> Data
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of records."""
+    """A JSON array of records."""
     return spark.read.json(path, multiLine=True)
 
 
+def read_queries(spark: SparkSession, path: str) -> list[dict] | None:
+    """A question set, a short fixed list; None if there is no such file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return [r.asDict() for r in spark.read.schema("Alias string, Text string").json(path, multiLine=True).collect()]
+
+
+def check_features(features: list[str]) -> list[str]:
+    """The features, if all are known."""
+    if bad := [f for f in features if f not in FEATURES]:
+        raise ValueError(f"unknown features: {bad}")
+    return features
+
+
+def rolls_of(files: DataFrame) -> DataFrame:
+    """(district, roll, frames) of a listing of .../District <N>/.../ROLL <name>/<frame>; other files go."""
+    pattern = r"(?i)district\s*(\d+).*/(ROLL [^/]+)/[^/]+$"
+    part = lambda k: F.regexp_extract("path", pattern, k)
+    return files.where(F.rlike("path", F.lit(pattern))).groupBy(part(1).cast("int").alias("district"), part(2).alias("roll")).agg(F.count("*").alias("frames"))
+
+
+def page_images(files: DataFrame, most: int = 1500, content: str = "content") -> DataFrame:
+    """The files with ``png``, an RGB or gray picture whose longer side is at most so long, ``deviation`` of its gray values, and ``error``. Needs Pillow where the
+    executors run; without it every row says so in ``error``."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for raw in batch[content]:
+                try:
+                    import io
+
+                    from PIL import Image, ImageStat
+
+                    picture = Image.open(io.BytesIO(raw))
+                    picture = picture if picture.mode in ("RGB", "L") else picture.convert("RGB")
+                    picture.thumbnail((most, most))
+                    png = io.BytesIO()
+                    picture.save(png, "PNG")
+                    out.append((png.getvalue(), float(ImageStat.Stat(picture.convert("L")).stddev[0]), None))
+                except Exception as e:  # noqa: BLE001  the error becomes data
+                    out.append((None, None, str(e)[:200]))
+            import pandas as pd
+
+            yield pd.concat([batch.reset_index(drop=True), pd.DataFrame(out, columns=["png", "deviation", "error"], dtype=object)], axis=1)
+
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    return files.mapInPandas(run, f"{own}, png binary, deviation double, error string")
+
+
+def spend_of(pages: DataFrame, purpose: str = "classify") -> DataFrame:
+    """The spend table that page records imply."""
+    return pages.select(F.concat_ws("_", F.replace(F.lower("roll_id"), F.lit(" "), F.lit("_")), "frame").alias("page_id"), "frame", "roll_id", F.lit(purpose).alias("purpose"), F.col("model_version").alias("model_id"), "tokens_in", "tokens_out", F.col("usd_cost").alias("usd_total"), "latency_ms", "page_class")
+
+
 def list_files(spark: SparkSession, path: str, pattern: str, limit: int | None = None) -> DataFrame:
     """(path, name, frame) in order, contents not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
@@ -57,7 +113,7 @@ def manifest_of(files: DataFrame) -> DataFrame:
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of <label>__<feature>.json files, in the features' order; of one id the last block counts."""
+    """Blocks of <label>__<feature>.json files, in the features' order, all of them. Where an id is referred to, extract.latest takes its last block."""
     raw = spark.read.schema(f"Blocks array<{BLOCK}>").json(path, multiLine=True).withColumn("stem", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", ""))
     raw = raw.select(F.substring_index("stem", "__", 1).alias("label"), F.substring_index("stem", "__", -1).alias("feature"), "Blocks")
     rank = F.array_position(F.array(*map(F.lit, FEATURES)), F.col("feature"))
