@@ -1,7 +1,7 @@
 """Page extraction from OCR blocks: candidates, votes, routing, scores, digests.
 
 blocks: as read_blocks gives them, with a page column: page, block_pos (sortable), Id, BlockType, Text, Confidence, EntityTypes, RowIndex, ColumnIndex,
-Relationships, Query, Geometry. Every step is a join or an aggregate by page."""
+Relationships, Query, Geometry. Every step is a join or an aggregate by page, and blocks are looked at from many sides: give a stored or cached table, not a parse of raw responses."""
 
 from __future__ import annotations
 
@@ -108,10 +108,10 @@ def extract(pages: DataFrame, blocks: DataFrame, page: str, page_class: str, rol
         raise ValueError(f"unknown visibility {visibility}")
     kind = F.col(page_class)
     ids = lambda c: pages.where(kind == c).select(page, roll, seq)
-    entries = index_from_tables(blocks, page).join(ids("student_records_index"), page)
+    entries = index_from_tables(blocks.where(F.col("BlockType").isin("TABLE", "CELL", "WORD")), page).join(ids("student_records_index"), page)
     added = entries.groupBy(page).agg(F.count("*").alias("index_rows_added"))
     covers = ids("student_cover")
-    found = candidates(covers, blocks.join(covers.select(page), page, "left_semi"), page)
+    found = candidates(covers, blocks, page)
     listed = found.groupBy(page).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "source", "raw", "conf"))), lambda x: F.struct(x["source"].alias("source"), x["raw"].alias("raw"), x["conf"].alias("conf"))).alias("candidate_sources"))
     votes = vote_names(found, page)
     index = entries.select(roll, F.upper("last").alias("ilast"), F.upper("first").alias("ifirst"), F.col("middle").alias("imiddle"), F.struct(F.col(seq).alias("seq"), "table", "r").alias("pos"), F.col("dob").alias("_dob"))
@@ -301,7 +301,7 @@ def component_vote(found: DataFrame, page: str, order: str) -> DataFrame:
     def top(c: str, n: str) -> DataFrame:
         each = found.where(F.col(c) != "") if c == "middle" else found
         each = each.groupBy(page, c).agg(F.count("*").alias("n"), F.min(order).alias("o"))
-        return b.best_by(each, [page], F.struct(c, "n"), [F.desc("n"), F.asc("o")]).select(page, F.col(f"best.{c}").alias(c), F.col("best.n").alias(n))
+        return b.best_by(each, [page], F.struct(c, "n"), [F.desc("n"), F.asc("o"), F.asc(c)]).select(page, F.col(f"best.{c}").alias(c), F.col("best.n").alias(n))
 
     own = top("last", "_l").join(top("first", "_f"), page).join(top("middle", "_m"), page, "left").withColumn("agreement", F.least("_l", "_f"))
     own = own.withColumn("confidence", F.when(F.col("agreement") >= 3, 0.95).when(F.col("agreement") == 2, 0.80).otherwise(0.50))

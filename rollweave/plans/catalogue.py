@@ -538,3 +538,6 @@ def inherit_name(spark, d):
 def review_queue(spark, d):
     own = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
     return report.review_reasons(own, {"short": F.col("n_chars") < 200, "language": F.col("lang") != "en", "quality": F.col("quality") == 0}).select("doc_id", "reason")
+
+
+from . import page_queries  # noqa: E402, F401  its queries join this catalogue
