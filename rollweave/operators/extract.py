@@ -25,59 +25,51 @@ def latest(blocks: DataFrame, page: str) -> DataFrame:
     return blocks.where("Id is not null").withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def words_of(blocks: DataFrame, page: str) -> DataFrame:
-    """(page, Id, words): the texts of each block's WORD children, in order; none for a block without any."""
-    links = b.edges(blocks, page).where("type = 'CHILD'")
-    words = latest(blocks, page).where("BlockType = 'WORD'").select(page, F.col("Id").alias("child"), strip(F.col("Text")).alias("w"))
-    found = links.join(words, [page, "child"]).select(page, "parent", "ord", "w").distinct()
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "w"))), lambda x: x["w"]), " ")
-    return found.groupBy(page, F.col("parent").alias("Id")).agg(strip(joined).alias("words"))
-
-
-def form_names(blocks: DataFrame, page: str) -> DataFrame:
-    """(page, raw, conf): of the keys that speak of a name, and not of a parent's, the surest one's value; of a key's values the last one counts."""
-    own, words = latest(blocks, page), words_of(blocks, page)
-    keys = blocks.where((F.col("BlockType") == "KEY_VALUE_SET") & F.array_contains("EntityTypes", "KEY")).select(page, "Id", "block_pos", F.coalesce("Confidence", F.lit(0.0)).alias("conf"))
-    keys = keys.join(words, [page, "Id"]).withColumn("_u", F.upper("words"))
-    other = F.exists(F.array(*map(F.lit, OTHERS)), lambda o: F.contains(F.col("_u"), o))
-    keys = keys.where(F.contains("_u", F.lit("NAME")) & ~other).select(page, F.col("Id").alias("parent"), "block_pos", "conf")
-    links = b.edges(blocks, page).where("type = 'VALUE'").join(own.select(page, F.col("Id").alias("child")), [page, "child"])
-    values = links.join(words.withColumnRenamed("Id", "child"), [page, "child"], "left")
-    value = values.groupBy(page, "parent").agg(F.max_by(text(F.col("words")), F.col("ord")).alias("raw"))
-    named = keys.join(value, [page, "parent"]).where("raw != '' and conf > 0")
-    return b.best_by(named, [page], F.struct("raw", "conf"), [F.desc("conf"), F.asc("block_pos")]).select(page, "best.raw", "best.conf")
-
-
-def answers(blocks: DataFrame, page: str) -> DataFrame:
-    """(page, alias, raw, conf): for each alias the first answer of its first question that has one."""
-    asked = blocks.where("BlockType = 'QUERY'").select(page, F.col("Id").alias("parent"), "block_pos", F.col("Query.Alias").alias("alias"))
-    own = latest(blocks, page).select(page, F.col("Id").alias("child"), text(F.col("Text")).alias("raw"), F.coalesce("Confidence", F.lit(0.0)).alias("conf"))
-    found = asked.join(b.edges(blocks, page).where("type = 'ANSWER'"), [page, "parent"]).join(own, [page, "child"])
-    return b.best_by(found, [page, "alias"], F.struct("raw", "conf"), [F.asc("block_pos"), F.asc("ord")]).select(page, "alias", "best.raw", "best.conf")
-
-
-def first_line(blocks: DataFrame, page: str) -> DataFrame:
-    """(page, raw, conf): the first line that is a valid name."""
-    lines = blocks.where("BlockType = 'LINE'").select(page, "block_pos", strip(F.col("Text")).alias("raw"), F.coalesce("Confidence", F.lit(0.0)).alias("conf"))
-    return b.best_by(lines.where(valid_name(F.col("raw"))), [page], F.struct("raw", "conf"), [F.asc("block_pos")]).select(page, "best.raw", "best.conf")
-
-
-def box_values(blocks: DataFrame, page: str, anchor: str = "LAST", direction: str = "right", skip: tuple[str, ...] = b.LABEL_WORDS) -> DataFrame:
-    """(page, raw, conf): the word nearest to the first word that is the anchor, at a fixed confidence. Only the first such word counts, even if it has no box."""
-    box = lambda c: F.col(f"Geometry.BoundingBox.{c}").alias(c.lower())
-    words = blocks.where("BlockType = 'WORD'").select(page, F.col("block_pos").alias("id"), strip(F.col("Text")).alias("text"), *map(box, ("Top", "Left", "Width", "Height")))
-    first = words.where(F.upper("text") == anchor.upper()).groupBy(page).agg(F.min(F.struct("id", "top", "left", "width", "height")).alias("a"))
-    anchors = first.select(page, *(F.col(f"a.{c}").alias(f"a_{c}") for c in ("id", "top", "left", "width", "height"))).where("a_top is not null")
-    return b.nearest_word(words.where("top is not null"), page, anchors, direction, skip).select(page, F.col("text").alias("raw"), F.lit(BOX_CONFIDENCE).alias("conf"))
-
-
-def candidates(pages: DataFrame, blocks: DataFrame, page: str) -> DataFrame:
-    """(page, pos, source, raw, conf): six rows for each page of ``pages``, blank at confidence 0 where a source has nothing."""
-    asked = answers(blocks, page).withColumn("source", F.create_map(*(F.lit(x) for kv in ALIASES.items() for x in kv))[F.col("alias")]).where("source is not null")
-    named = lambda df, source: df.select(page, F.lit(source).alias("source"), "raw", "conf")
-    found = named(form_names(blocks, page), "forms_name").unionByName(named(box_values(blocks, page), "forms_bbox")).unionByName(asked.select(page, "source", "raw", "conf")).unionByName(named(first_line(blocks, page), "detect_first"))
-    every = pages.select(page).distinct().select(page, F.posexplode(F.array(*map(F.lit, SOURCES))).alias("pos", "source"))
-    return every.join(found, [page, "source"], "left").select(page, "pos", "source", text(F.col("raw")).alias("raw"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
+def resolve(blocks: DataFrame, page: str) -> DataFrame:
+    """The blocks with what their relationships lead to: words (the texts of the WORD children, in order), answer (text and conf of the first block that answers) and
+    value (the words of the last VALUE block). Ids that lead nowhere are ignored. One join for the first level, one for the values of keys."""
+    own = latest(blocks, page).select(page, F.col("Id").alias("child"), F.col("BlockType").alias("_kind"), text(F.col("Text")).alias("_text"), F.coalesce("Confidence", F.lit(0.0)).alias("_conf"))
+    links = b.edges(blocks, page).distinct().join(own, [page, "child"])
+    kind = F.col("type")
+    words = F.array_sort(F.collect_list(F.when((kind == "CHILD") & (F.col("_kind") == "WORD"), F.struct("ord", strip(F.col("_text")).alias("w")))))
+    first = links.groupBy(page, F.col("parent").alias("Id")).agg(
+        strip(F.array_join(F.transform(words, lambda x: x["w"]), " ")).alias("words"),
+        F.min(F.when(kind == "ANSWER", F.struct("ord", F.col("_text").alias("text"), F.col("_conf").alias("conf")))).alias("answer"),
+        F.max(F.when(kind == "VALUE", F.struct("ord", "child"))).alias("_value"),
+    )
+    values = first.where("_value is not null").select(page, F.col("Id").alias("_parent"), F.col("_value.child").alias("Id"))
+    values = values.join(first.select(page, "Id", F.col("words").alias("value")), [page, "Id"]).select(page, F.col("_parent").alias("Id"), "value")
+    return blocks.join(first.drop("_value"), [page, "Id"], "left").join(values, [page, "Id"], "left").withColumn("words", text(F.col("words"))).withColumn("value", text(F.col("value")))
+
+
+def candidates(pages: DataFrame, blocks: DataFrame, page: str, anchor: str = "LAST", skip: tuple[str, ...] = b.LABEL_WORDS) -> DataFrame:
+    """(page, pos, source, raw, conf): six rows for each page of ``pages``, blank at confidence 0 where a source has nothing. One aggregate over a page's resolved blocks:
+
+    forms_name (A19): the value of the surest key that speaks of a name and not of a parent's. forms_bbox (J11): the word to the right of the first word that is the anchor, at a fixed
+    confidence; only that word counts, even if it has no box. queries_* (A20): the first answer of the alias's first question that has one. detect_first (A21): the first line that is a valid name."""
+    own = resolve(blocks, page)
+    kind, conf, upper = F.col("BlockType"), F.coalesce("Confidence", F.lit(0.0)), F.upper("words")
+    box = F.col("Geometry.BoundingBox")
+    other = F.exists(F.array(*map(F.lit, OTHERS)), lambda o: F.contains(upper, o))
+    named = (kind == "KEY_VALUE_SET") & F.coalesce(F.array_contains("EntityTypes", "KEY"), F.lit(False)) & F.contains(upper, F.lit("NAME")) & ~other & (F.col("value") != "") & (conf > 0)
+    line = strip(F.col("Text"))
+    is_word = kind == "WORD"
+    first = lambda when, *order_and_rest: F.min(F.when(when, F.struct(*order_and_rest)))
+    found = own.groupBy(page).agg(
+        first(named, (-conf).alias("o"), "block_pos", F.col("value").alias("raw"), conf.alias("conf")).alias("forms_name"),
+        *(first((kind == "QUERY") & (F.col("Query.Alias") == alias) & F.col("answer").isNotNull(), F.col("block_pos").alias("o"), F.col("answer.text").alias("raw"), F.col("answer.conf").alias("conf")).alias(source) for alias, source in ALIASES.items()),
+        first((kind == "LINE") & valid_name(line), F.col("block_pos").alias("o"), line.alias("raw"), conf.alias("conf")).alias("detect_first"),
+        first(is_word & (F.upper(line) == anchor.upper()), F.col("block_pos").alias("id"), box.alias("box")).alias("_anchor"),
+        F.collect_list(F.when(is_word & (line != "") & box.isNotNull() & ~F.upper(line).isin(*skip), F.struct(F.col("block_pos").alias("id"), line.alias("raw"), box.alias("box")))).alias("_words"),
+    )
+    at = F.col("_anchor.box")
+    gap = lambda w: w["box"]["Left"] - (at["Left"] + at["Width"])
+    near = F.filter("_words", lambda w: (w["id"] != F.col("_anchor.id")) & (F.abs(w["box"]["Top"] - at["Top"]) <= at["Height"]) & gap(w).between(-0.005, 0.30))
+    found = found.withColumn("forms_bbox", F.array_min(F.transform(near, lambda w: F.struct(gap(w).alias("o"), w["id"].alias("id"), w["raw"].alias("raw"), F.lit(BOX_CONFIDENCE).alias("conf")))))
+    side = lambda s: F.struct(text(F.col(f"{s}.raw")).alias("raw"), F.coalesce(F.col(f"{s}.conf"), F.lit(0.0)).alias("conf"))
+    every = pages.select(page).distinct().join(found.select(page, *SOURCES), page, "left")
+    listed = F.array(*(F.struct(F.lit(k).alias("pos"), F.lit(s).alias("source"), side(s).alias("c")) for k, s in enumerate(SOURCES)))
+    return every.select(page, F.inline(listed)).select(page, "pos", "source", "c.raw", "c.conf")
 
 
 def vote_names(found: DataFrame, page: str) -> DataFrame:
@@ -90,15 +82,25 @@ def vote_names(found: DataFrame, page: str) -> DataFrame:
 
 def index_from_tables(blocks: DataFrame, page: str) -> DataFrame:
     """(page, table, r, last, first, middle, dob) of the records in a page's tables."""
-    own, words = latest(blocks, page), words_of(blocks, page)
-    links = b.edges(blocks.where("BlockType = 'TABLE'"), page).where("type = 'CHILD'")
-    cells = own.where("BlockType = 'CELL'").select(page, F.col("Id").alias("child"), F.col("RowIndex").alias("r"), F.col("ColumnIndex").alias("c"))
-    cells = links.join(cells, [page, "child"]).join(words.withColumnRenamed("Id", "child"), [page, "child"], "left")
-    # Of cells at one place the last one counts.
-    w = Window.partitionBy(page, "parent", "r", "c").orderBy(F.desc("ord"))
-    cells = cells.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(page, F.col("parent").alias("table"), "r", "c", "ord", text(F.col("words")).alias("text"))
-    heads = b.header_row(cells, [page, "table"], "r", "text")
-    return b.grid_rows(cells, heads, b.header_columns(cells, heads, [page, "table"], "r", "c", "text"), [page, "table"], "r", "c", "text", "ord")
+    own = resolve(blocks.where(F.col("BlockType").isin("TABLE", "CELL", "WORD")), page)
+    cells = latest(own.where("BlockType = 'CELL'"), page).select(page, F.col("Id").alias("child"), F.col("RowIndex").alias("r"), F.col("ColumnIndex").alias("c"), F.col("words").alias("text"))
+    cells = b.edges(blocks.where("BlockType = 'TABLE'"), page).where("type = 'CHILD'").join(cells, [page, "child"])
+    # Of cells at one place the last one counts. A table is gathered whole: it stands on one page.
+    keys = [page, F.col("parent").alias("table")]
+    cells = cells.groupBy(*keys, "r", "c").agg(F.max_by("text", "ord").alias("text"))
+    tables = cells.groupBy(page, "table", "r").agg(F.map_from_entries(F.collect_list(F.struct("c", "text"))).alias("m"))
+    tables = tables.groupBy(page, "table").agg(F.map_from_entries(F.collect_list(F.struct("r", "m"))).alias("rows"))
+    filled = lambda r: F.size(F.filter(F.map_values(F.try_element_at("rows", F.lit(r))), lambda t: ~blank(t)))
+    head = F.when(filled(1) >= 3, 1).when(filled(2) >= 3, 2).when(filled(3) >= 3, 3).otherwise(1)
+    tables = tables.withColumn("_head", head).withColumn("_cells", F.array_sort(F.map_entries(F.coalesce(F.try_element_at("rows", F.col("_head")), F.create_map().cast("map<int,string>")))))
+    hit = lambda t, marks: F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(F.upper(t), m))
+    field = lambda t: F.when(hit(t, b.HINTS[0][1]), "last").when(hit(t, b.HINTS[1][1]), "first").when(hit(t, b.HINTS[2][1]), "middle").when(hit(t, b.HINTS[3][1]), "dob")
+    tables = tables.withColumn("_fields", F.transform("_cells", lambda e: F.struct(field(e["value"]).alias("f"), e["key"].alias("c"))))
+    column = lambda f: F.array_min(F.transform(F.filter("_fields", lambda x: x["f"] == f), lambda x: x["c"])).alias(f"c_{f}")
+    tables = tables.select(page, "table", "rows", "_head", *(column(f) for f, _ in b.HINTS)).where("c_last is not null and c_first is not null")
+    rows = tables.select(page, "table", "_head", *(f"c_{f}" for f, _ in b.HINTS), F.explode("rows").alias("r", "m")).where("r > _head")
+    value = lambda f: F.coalesce(strip(F.try_element_at("m", F.col(f"c_{f}"))), F.lit("")).alias(f)
+    return rows.select(page, "table", "r", *(value(f) for f, _ in b.HINTS)).where("last <> '' or first <> ''")
 
 
 def extract(pages: DataFrame, blocks: DataFrame, page: str, page_class: str, roll: str, seq: str, visibility: str = "prefix") -> DataFrame:
@@ -108,7 +110,7 @@ def extract(pages: DataFrame, blocks: DataFrame, page: str, page_class: str, rol
         raise ValueError(f"unknown visibility {visibility}")
     kind = F.col(page_class)
     ids = lambda c: pages.where(kind == c).select(page, roll, seq)
-    entries = index_from_tables(blocks.where(F.col("BlockType").isin("TABLE", "CELL", "WORD")), page).join(ids("student_records_index"), page)
+    entries = index_from_tables(blocks, page).join(ids("student_records_index"), page)
     added = entries.groupBy(page).agg(F.count("*").alias("index_rows_added"))
     covers = ids("student_cover")
     found = candidates(covers, blocks, page)
