@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions import scalars as s
 from .operators import enrich, extract, report
 from .plans import jobs
+from .shipping import ship
 from .sources import records
 
 
 def session() -> SparkSession:
-    return SparkSession.builder.appName("rollweave").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.appName("rollweave").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship(spark)
+    return spark
 
 
 def _write(df: DataFrame, folder: str, name: str) -> None:

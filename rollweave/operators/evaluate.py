@@ -92,23 +92,29 @@ def evaluate(packets: DataFrame, cleaned: DataFrame, totals: DataFrame, roll: st
     packets: (roll, packet_no, last, first, middle, last_raw, first_raw, middle_raw, snap_applied); cleaned: of clean_truth; totals: of page_totals. The match runs twice,
     on raw names and on snapped ones. Ratios are 0 without packets; rolls without packets or truth have zeros and empty lists."""
     truth = cleaned.where("drop_reason is null")
-    names = lambda raw: packets.select(roll, F.col("packet_no").cast("long").alias("packet_pos"), *(F.col(f"{c}_raw" if raw else c).alias(c) for c in ("last", "first", "middle")))
-    out = totals
-    counted = packets.groupBy(roll).agg(F.count("*").alias("packets_predicted"), F.count_if("snap_applied").alias("packets_snapped"))
-    usable = cleaned.groupBy(roll).agg(F.count("*").alias("gt_rows_raw"), F.count_if(F.col("drop_reason").isNull()).alias("gt_rows_usable"))
+    usable = cleaned.groupBy(roll).agg(F.count("*").alias("gt_rows_raw"), F.count_if(F.col("drop_reason").isNull()).alias("gt_rows_usable"), F.array_sort(F.collect_list(F.when(F.col("drop_reason").isNull(), F.struct("gt_pos", rendered("last", "first").alias("name"))))).alias("_truth"))
     reasons = cleaned.where("drop_reason is not null").groupBy(roll, "drop_reason").agg(F.count("*").alias("n"))
     reasons = reasons.groupBy(roll).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("drop_reason", "n")))).alias("gt_rows_dropped_reasons"))
-    for side in (counted, usable, reasons):
-        out = out.join(side, roll, "left")
-    listed = lambda rows, pos: rows.groupBy(roll).agg(F.transform(F.array_sort(F.collect_list(F.struct(pos, "name"))), lambda x: x["name"]).alias("list"))
+    counted = packets.groupBy(roll).agg(F.count("*").alias("packets_predicted"), F.count_if("snap_applied").alias("packets_snapped"), F.array_sort(F.collect_list(F.struct(F.col("packet_no").cast("long").alias("packet_pos"), rendered("last", "first").alias("name")))).alias("_packets"))
+    # Both matches are one: a roll's raw names and its snapped ones are two rolls to it.
+    key = lambda when: F.concat(F.lit(f"{when}:"), F.col(roll).cast("string"))
+    side = lambda when, raw: F.struct(key(when).alias("_k"), F.col("packet_no").cast("long").alias("packet_pos"), *(F.col(f"{c}{raw}").alias(c) for c in ("last", "first", "middle")))
+    stacked = packets.select(F.inline(F.array(side("pre", "_raw"), side("post", ""))))
+    both = truth.select(F.explode(F.array(key("pre"), key("post"))).alias("_k"), "gt_pos", "last", "first", "middle")
+    matched = greedy_match(stacked, both, "_k", most)
+    grades = matched.groupBy("_k").agg(
+        *(F.count_if(F.col("grade") == g).alias(n) for g, n in (("exact", "exact_matches"), ("partial", "partial_matches"), ("none", "no_match"))),
+        F.collect_list("gt_pos").alias("_used"), F.collect_list(F.when(F.col("grade") == "none", F.col("packet_pos"))).alias("_alone"),
+    )
+    out = totals
+    for part in (counted, usable, reasons):
+        out = out.join(part, roll, "left")
     for when in ("pre", "post"):
-        own = names(when == "pre")
-        matched = greedy_match(own, truth, roll, most)
-        grades = matched.groupBy(roll).agg(*(F.count_if(F.col("grade") == g).alias(f"{n}_{when}") for g, n in (("exact", "exact_matches"), ("partial", "partial_matches"), ("none", "no_match"))))
-        out = out.join(grades, roll, "left")
-        if when == "post":
-            out = out.join(listed(unmatched(own, matched, roll, "packet_pos"), "packet_pos").withColumnRenamed("list", "unmatched_predictions"), roll, "left")
-            out = out.join(listed(unmatched(truth, matched, roll, "gt_pos"), "gt_pos").withColumnRenamed("list", "unmatched_ground_truth"), roll, "left")
+        own = grades.where(F.startswith("_k", F.lit(f"{when}:"))).select("_k", *(F.col(n).alias(f"{n}_{when}") for n in ("exact_matches", "partial_matches", "no_match")), *(["_used", "_alone"] if when == "post" else []))
+        out = out.withColumn("_k", key(when)).join(own, "_k", "left").drop("_k")
+    left = lambda rows, pos, test: F.transform(F.filter(rows, test), lambda x: x["name"])
+    out = out.withColumn("unmatched_predictions", left("_packets", "packet_pos", lambda x: F.array_contains("_alone", x["packet_pos"])))
+    out = out.withColumn("unmatched_ground_truth", left("_truth", "gt_pos", lambda x: ~F.coalesce(F.array_contains("_used", x["gt_pos"]), F.lit(False))))
     counts = ["packets_predicted", "packets_snapped", "gt_rows_raw", "gt_rows_usable", *(f"{n}_{w}" for w in ("pre", "post") for n in ("exact_matches", "partial_matches", "no_match"))]
     out = out.fillna(0, counts).withColumn("packets_ground_truth", F.col("gt_rows_usable"))
     for when in ("pre", "post"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -173,16 +174,17 @@ def snap_packets(packets: DataFrame, index: DataFrame, roll: str) -> DataFrame:
     return own.withColumn("snap_applied", applied & F.col("snap").isNotNull()).withColumn("snap_distance", F.col("snap.dist")).drop("snap")
 
 
-def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island", index: DataFrame | None = None, confidence: str | None = None, threshold: float = 0.7, middle: str | None = None, frame: str | None = None, merge: bool = True) -> DataFrame:
+def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island", index: DataFrame | None = None, confidence: str | None = None, threshold: float = 0.7, middle: str | None = None, frame: str | None = None, merge: bool = True, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(roll, packet_no, packet_id, last, first, middle, begin, end, pages, frames, avg_confidence, flagged). A fold over one roll's packets in order, so the roll is the
     unit of work; rolls are bounded by the film's length. pages: with islands, order an integer frame; frame: its name, if it has another.
 
     index (of snap.roll_index): J1 before and after. Islands are compared by their snapped names, merged packets by their raw majority, and every packet
     is snapped at the end, which adds last_raw, first_raw, middle_raw, snap_applied and snap_distance. confidence: means and flags (any page
-    under the threshold) are over all pages of a packet; without it they are null and false. merge: False leaves the islands as they are."""
+    under the threshold) are over all pages of a packet; without it they are null and false. merge: False leaves the islands as they are. keep: stores what several steps read."""
     kind = dict(pages.dtypes)[roll]
     conf = F.col(confidence).cast("double") if confidence else F.lit(None).cast("double")
     own = pages.select(F.col(roll), F.col(order).alias("_o"), norm(F.col(last)).alias("last"), norm(F.col(first)).alias("first"), (norm(F.col(middle)) if middle else F.lit("")).alias("middle"), F.col(island).alias("_i"), conf.alias("_c"), F.col(frame or order).cast("string").alias("_n"))
+    own = keep(own)
     if index is None:
         own = own.withColumn("_sl", F.lit(None).cast("string")).withColumn("_sf", F.lit(None).cast("string"))
     else:
@@ -209,7 +211,7 @@ def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first:
     columns = [roll, "packet_no", "packet_id", "last", "first", "middle", "begin", "end", "pages", "frames", "avg_confidence", "flagged"]
     if index is None:
         return merged.select(*columns)
-    return snap_packets(merged, index, roll).select(*columns, "last_raw", "first_raw", "middle_raw", "snap_applied", "snap_distance")
+    return snap_packets(keep(merged), index, roll).select(*columns, "last_raw", "first_raw", "middle_raw", "snap_applied", "snap_distance")
 
 
 def alphabet_breaks(rows: DataFrame, roll: str, order: str, last: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -11,6 +13,20 @@ from ..operators import evaluate, packets, snap
 from ..sources.records import STUDENT_CLASSES
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A result that several steps read, written once to the shared folder that the cluster names in spark.checkpoint.dir: it isn't made again, what is lost with an executor is read
+    again from there, and later plans begin at it. Names and numbers only, no texts. Local sessions without such a folder write to a temporary one."""
+    spark = df.sparkSession
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        at = tempfile.gettempdir()
+    path = f"{at.rstrip('/')}/rollweave-jobs/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Options:
     """mode: boundary (name changes) or index (by index entry). fallback: least size of islands over pages without an entry, 0 for none (index mode)."""
@@ -45,7 +61,7 @@ def student_window(pages: DataFrame) -> DataFrame:
 def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
     """Packets of all rolls: roll_id, packet_no, packet_id, last, first, middle, their raw forms, frames, pages, avg_confidence, flagged, snap_applied, snap_distance."""
     own = student_window(flat_pages(pages))
-    own = snap.nearest(own, index, "roll_id", "last", "first", caps=(3, 3, 4), swap=True).drop("_l", "_f")
+    own = kept(snap.nearest(own, index, "roll_id", "last", "first", caps=(3, 3, 4), swap=True).drop("_l", "_f"))
     if options.mode == "index":
         own = own.withColumn("snap", F.when(has_name(F.col("last"), F.col("first")), F.col("snap")))
         made = packets.index_buckets(own.drop("last", "first", "middle"), "roll_id", "frame", "confidence", options.threshold, options.min_bucket)
@@ -61,7 +77,7 @@ def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> D
     known = index.select("roll_id").distinct().withColumn("_index", F.lit(True))
     own = own.join(known, "roll_id", "left").withColumn("_key", packets.boundary_key(F.col("last"), F.col("first"), F.col("snap"), F.coalesce("_index", F.lit(False))))
     own = packets.islands(own, "roll_id", "frame", F.col("_key"))
-    made = packets.merge_to_fixpoint(own, "roll_id", "frame_no", "last", "first", index=index, confidence="confidence", threshold=options.threshold, middle="middle", frame="frame", merge=options.merge)
+    made = packets.merge_to_fixpoint(own, "roll_id", "frame_no", "last", "first", index=index, confidence="confidence", threshold=options.threshold, middle="middle", frame="frame", merge=options.merge, keep=kept)
     return made.select(*PACKET)
 
 
@@ -70,10 +86,10 @@ PACKET = ["roll_id", "packet_no", "packet_id", "last", "first", "middle", "frame
 
 
 def regroup(pages: DataFrame, truth_files: DataFrame, options: Options = Options(), failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:  # noqa: B008
-    """(index, packets, report) of page records. truth_files: (roll_id, name). The report has a row for each roll."""
-    index = index_of(pages)
-    made = group(pages, index, options)
-    cleaned = evaluate.clean_truth(truth_files, "roll_id", "name")
+    """(index, packets, report) of page records. truth_files: (roll_id, name). The report has a row for each roll. What several steps read is kept, so the job runs as it is called."""
+    index = kept(index_of(pages))
+    made = kept(group(pages, index, options))
+    cleaned = kept(evaluate.clean_truth(truth_files, "roll_id", "name"))
     return index, made, evaluate.evaluate(made, cleaned, evaluate.page_totals(pages, index, "roll_id", failed), "roll_id")
 
 

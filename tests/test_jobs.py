@@ -173,7 +173,7 @@ def plain_by_index(pages, least, fallback):
 
 @pytest.fixture(scope="module")
 def rolls():
-    return some_rolls(60, 11)
+    return some_rolls(40, 11)
 
 
 @pytest.fixture(scope="module")
@@ -354,3 +354,24 @@ def test_commands(spark, tmp_path, rolls):
     assert main(["probe", "--input", at("d1r002"), "--records", at("probe.jsonl"), "--first", "3", "--last", "2", "--output-dir", at("o9")], spark) == 0
     assert sorted(r["frame"] for r in read(spark, tmp_path / "o9" / "todo").collect()) == ["00002", "00003", "00007", "00008"]
     assert read(spark, tmp_path / "o9" / "names").first()["sample_names"] == ["A"]
+
+
+def test_shipping(tmp_path):
+    """Workers that can't import the package get it from the session: run from another folder, without PYTHONPATH."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession, functions as F
+from rollweave.functions import scalars as s
+from rollweave.shipping import ship
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+ship(spark)
+assert spark.range(1).select(s.folded(F.lit("Ä b,")).alias("x")).first()["x"] == "a b"
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=False, timeout=300).returncode == 0
