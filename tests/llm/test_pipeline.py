@@ -48,8 +48,10 @@ def test_stages_on_odd_tables(spark, edge_docs, edge_rows, no_docs):
             assert now.columns == [*docs.columns, *(["copies", "expected"] if name == "mixing" else [])]
             now = now.cache()
             assert now.count() <= docs.count()
-        left = {r["doc_id"] for r in now.collect()}
-        assert (22 in left) == (docs is edge_docs) and not {2, 3, 4} & left
+            left = {r["doc_id"] for r in now.collect()}
+            # The long text is clean, so it stays until mixing, which draws; texts without tokens go there.
+            assert name == "mixing" or (22 in left) == (docs is edge_docs)
+        assert not {2, 3, 4} & left
 
 
 def test_scratch_tables_go(spark):
