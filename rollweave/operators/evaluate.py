@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import clean_gt, norm, ratio, scaled_cap
+from .snap import spread
 
 MOST_EDITS = 3
 LONG_FROM = 7
@@ -36,7 +37,7 @@ def match_candidates(packets: DataFrame, truth: DataFrame, roll: str, most: int
     by_name = gt.groupBy(roll, "last", "first").agg(F.array_sort(F.collect_list(F.struct("gt_pos", "middle"))).alias("all"))
     names = own.select(roll, "last", "first").distinct()
     within = lambda c: (F.abs(F.length(c) - F.length(f"g_{c}")) <= most + 1) & (F.coalesce(F.levenshtein(F.col(c), F.col(f"g_{c}"), most + 1), F.lit(-1)).between(0, scaled_cap(F.col(f"g_{c}"), most, LONG_FROM)))
-    near = names.join(by_name.select(roll, F.col("last").alias("g_last"), F.col("first").alias("g_first"), "all"), roll).where(within("last") & within("first"))
+    near = spread(names, roll).join(by_name.select(roll, F.col("last").alias("g_last"), F.col("first").alias("g_first"), "all"), roll).where(within("last") & within("first"))
     near = near.groupBy(roll, "last", "first").agg(F.array_sort(F.flatten(F.collect_list(F.transform("all", lambda x: x["gt_pos"])))).alias("near"))
     out = own.join(by_name, [roll, "last", "first"], "left").join(near, [roll, "last", "first"], "left")
     some = F.coalesce("all", F.array().cast(out.schema["all"].dataType))

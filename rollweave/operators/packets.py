@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -162,56 +161,69 @@ def fold_packets(packets: list[dict], passes: int = MERGE_PASSES) -> list[dict]:
     return packets
 
 
-def snap_packets(packets: DataFrame, index: DataFrame, roll: str) -> DataFrame:
-    """Last and first of the nearest index entry and its middle name, if it has one, else as they are; last_raw, first_raw, middle_raw, snap_applied (a name
+def with_snap(packets: DataFrame) -> DataFrame:
+    """Packets with ``snap``: last and first of the index entry and its middle name, if it has one, else as they are; last_raw, first_raw, middle_raw, snap_applied (a name
     changed) and snap_distance (null if no entry is near)."""
+    own = packets.withColumnsRenamed({"last": "last_raw", "first": "first_raw", "middle": "middle_raw"})
+    own = own.withColumns({
+        "last": F.coalesce("snap.ilast", "last_raw"), "first": F.coalesce("snap.ifirst", "first_raw"),
+        "middle": F.when(blank(F.col("snap.imiddle")), F.col("middle_raw")).otherwise(F.coalesce("snap.imiddle", "middle_raw")),
+    })
+    applied = (F.col("last") != norm(F.col("last_raw"))) | (F.col("first") != norm(F.col("first_raw")))
+    return own.withColumns({"snap_applied": applied & F.col("snap").isNotNull(), "snap_distance": F.col("snap.dist")}).drop("snap")
+
+
+def snap_packets(packets: DataFrame, index: DataFrame, roll: str) -> DataFrame:
+    """with_snap of the nearest index entries."""
     if "middle" not in packets.columns:
         packets = packets.withColumn("middle", F.lit(""))
-    own = snap.nearest(packets, index, roll, "last", "first").drop("_l", "_f").withColumnsRenamed({"last": "last_raw", "first": "first_raw", "middle": "middle_raw"})
-    own = own.withColumn("last", F.coalesce("snap.ilast", "last_raw")).withColumn("first", F.coalesce("snap.ifirst", "first_raw"))
-    own = own.withColumn("middle", F.when(blank(F.col("snap.imiddle")), F.col("middle_raw")).otherwise(F.coalesce("snap.imiddle", "middle_raw")))
-    applied = (F.col("last") != norm(F.col("last_raw"))) | (F.col("first") != norm(F.col("first_raw")))
-    return own.withColumn("snap_applied", applied & F.col("snap").isNotNull()).withColumn("snap_distance", F.col("snap.dist")).drop("snap")
+    return with_snap(snap.nearest(packets, index, roll, "last", "first").drop("_l", "_f"))
 
 
-def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island", index: DataFrame | None = None, confidence: str | None = None, threshold: float = 0.7, middle: str | None = None, frame: str | None = None, merge: bool = True, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def merge_to_fixpoint(pages: DataFrame, roll: str, order: str, last: str, first: str, island: str = "island", index: DataFrame | None = None, confidence: str | None = None, threshold: float = 0.7, middle: str | None = None, frame: str | None = None, merge: bool = True, near: str | None = None) -> DataFrame:
     """(roll, packet_no, packet_id, last, first, middle, begin, end, pages, frames, avg_confidence, flagged). A fold over one roll's packets in order, so the roll is the
     unit of work; rolls are bounded by the film's length. pages: with islands, order an integer frame; frame: its name, if it has another.
 
     index (of snap.roll_index): J1 before and after. Islands are compared by their snapped names, merged packets by their raw majority, and every packet
-    is snapped at the end, which adds last_raw, first_raw, middle_raw, snap_applied and snap_distance. confidence: means and flags (any page
-    under the threshold) are over all pages of a packet; without it they are null and false. merge: False leaves the islands as they are. keep: stores what several steps read."""
+    is snapped at the end, which adds last_raw, first_raw, middle_raw, snap_applied and snap_distance. A majority is the name of some page, so the pages are
+    snapped once, and the fold takes what it needs from them; near: a column of the pages that holds their snap already, instead of index. confidence: means and flags (any page
+    under the threshold) are over all pages of a packet; without it they are null and false. merge: False leaves the islands as they are."""
     kind = dict(pages.dtypes)[roll]
     conf = F.col(confidence).cast("double") if confidence else F.lit(None).cast("double")
-    own = pages.select(F.col(roll), F.col(order).alias("_o"), norm(F.col(last)).alias("last"), norm(F.col(first)).alias("first"), (norm(F.col(middle)) if middle else F.lit("")).alias("middle"), F.col(island).alias("_i"), conf.alias("_c"), F.col(frame or order).cast("string").alias("_n"))
-    own = keep(own)
-    if index is None:
-        own = own.withColumn("_sl", F.lit(None).cast("string")).withColumn("_sf", F.lit(None).cast("string"))
-    else:
-        top = majority_name(own, [roll, "_i"], "last", "first", "middle", "_o").drop("votes")
-        snapped = snap_packets(top, index, roll).select(roll, "_i", F.col("last").alias("_sl"), F.col("first").alias("_sf"))
-        own = own.join(snapped, [roll, "_i"], "left")
+    indexed = index is not None or near is not None
+    own = pages.select(F.col(roll), F.col(order).alias("_o"), norm(F.col(last)).alias("last"), norm(F.col(first)).alias("first"), (norm(F.col(middle)) if middle else F.lit("")).alias("middle"), F.col(island).alias("_i"), conf.alias("_c"), F.col(frame or order).cast("string").alias("_n"), *([F.col(near).alias("snap")] if near else []))
+    if indexed and not near:
+        own = snap.nearest(own, index, roll, "last", "first").drop("_l", "_f")
+    entry = ("ilast", "ifirst", "imiddle", "dist")
+    own = own.select(roll, "_o", "last", "first", "middle", "_i", "_c", "_n", *((F.col(f"snap.{c}").alias(f"_{c}") for c in entry) if indexed else ()))
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("_o")
+        snaps: dict[tuple[str, str], tuple] = {}
+        if indexed:
+            found = own[own["_ilast"].notna()]
+            snaps = dict(zip(zip(found["last"], found["first"], strict=True), zip(found["_ilast"], found["_ifirst"], found["_imiddle"], found["_dist"].astype(int), strict=True), strict=True))
         packets = []
-        for _, group in own.sort_values("_o").groupby("_i", sort=True):
+        for _, group in own.groupby("_i", sort=True):
             names = [x for x in zip(group["last"], group["first"], group["middle"], strict=True) if x[0] or x[1]]
             best = top_name(names)
-            known = isinstance(group["_sl"].iloc[0], str)
+            to = snaps.get(best[:2], best) if names else best
             confs = group["_c"].dropna().tolist()
-            packets.append({"begin": int(group["_o"].iloc[0]), "end": int(group["_o"].iloc[-1]), "names": names, "last": group["_sl"].iloc[0] if known else best[0], "first": group["_sf"].iloc[0] if known else best[1], "middle": best[2], "pages": group["_n"].tolist(), "confs": confs, "flagged": any(c < threshold for c in confs)})
+            packets.append({"begin": int(group["_o"].iloc[0]), "end": int(group["_o"].iloc[-1]), "names": names, "last": to[0], "first": to[1], "middle": best[2], "pages": group["_n"].tolist(), "confs": confs, "flagged": any(c < threshold for c in confs)})
         rows = []
         for k, p in enumerate(fold_packets(packets) if merge else packets, 1):
             mean = sum(p["confs"]) / len(p["confs"]) if p["confs"] else None
-            rows.append((own[roll].iloc[0], k, *top_name(p["names"]), p["begin"], p["end"], len(p["pages"]), p["pages"], mean, p["flagged"]))
-        return pd.DataFrame(rows, columns=[roll, "packet_no", "last", "first", "middle", "begin", "end", "pages", "frames", "avg_confidence", "flagged"])
+            name = top_name(p["names"])
+            rows.append((own[roll].iloc[0], k, *name, p["begin"], p["end"], len(p["pages"]), p["pages"], mean, p["flagged"], *snaps.get(name[:2], (None,) * len(entry))))
+        return pd.DataFrame(rows, columns=[roll, "packet_no", "last", "first", "middle", "begin", "end", "pages", "frames", "avg_confidence", "flagged", *entry]).astype({"dist": "Int64"})
 
-    merged = own.groupBy(roll).applyInPandas(run, f"{roll} {kind}, packet_no long, last string, first string, middle string, begin long, end long, pages long, frames array<string>, avg_confidence double, flagged boolean")
+    merged = own.groupBy(roll).applyInPandas(run, f"{roll} {kind}, packet_no long, last string, first string, middle string, begin long, end long, pages long, frames array<string>, avg_confidence double, flagged boolean, ilast string, ifirst string, imiddle string, dist int")
     merged = merged.withColumn("packet_id", packet_id(F.col(roll), F.col("packet_no")))
     columns = [roll, "packet_no", "packet_id", "last", "first", "middle", "begin", "end", "pages", "frames", "avg_confidence", "flagged"]
-    if index is None:
+    if not indexed:
         return merged.select(*columns)
-    return snap_packets(keep(merged), index, roll).select(*columns, "last_raw", "first_raw", "middle_raw", "snap_applied", "snap_distance")
+    snapped = with_snap(merged.withColumn("snap", F.when(F.col("ilast").isNotNull(), F.struct(*entry))))
+    return snapped.select(*columns, "last_raw", "first_raw", "middle_raw", "snap_applied", "snap_distance")
 
 
 def alphabet_breaks(rows: DataFrame, roll: str, order: str, last: str) -> DataFrame:

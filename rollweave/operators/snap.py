@@ -28,26 +28,45 @@ def _within(a: Column, b: Column, cap: int) -> Column:
     return F.when(d >= 0, d)
 
 
+def _letters(c: Column) -> Column:
+    """The characters of a name as bits. One edit changes at most two of them, so names with more than 2n different bits are over n edits apart."""
+    return F.aggregate(F.split(c, ""), F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(x), F.lit(64)))))
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Dealt by key over all shuffle partitions: few bytes that make many pairs, which adaptive execution would put together into a task or two for their size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _keys(first_optional: bool, last: str, first: str) -> tuple[Column, Column]:
     """What is compared. Without first names (J3) commas at the end of the last name don't count."""
     return norm(F.regexp_replace(strip(F.col(last)), r",+$", "") if first_optional else F.col(last)), norm(F.col(first))
 
 
-def candidates(pages: DataFrame, index: DataFrame, roll: str, last: str, first: str, caps=(2, 2, 3), swap: bool = False, first_optional: bool = False, visible: Column | None = None, carry: tuple[str, ...] = (), dob: str | None = None) -> DataFrame:
+def candidates(pages: DataFrame, index: DataFrame, roll: str, last: str, first: str, caps=(2, 2, 3), swap: bool = False, first_optional: bool = False, visible: Column | None = None, carry: tuple[str, ...] = (), dob: str | None = None, strict: tuple[int, int, int] | None = None) -> DataFrame:
     """All index entries within the caps (last, first, sum) of each distinct (roll, last, first, *carry): _l, _f and cand = struct(dist, pos, swapped, ilast, ifirst, imiddle).
+    strict, narrower caps: ``near``, the same struct where the entry is within them unswapped, else null, so that one join serves both.
 
     carry: columns that ``visible``, a further condition, needs (J10: what came before the page). dob (Z15), one of them: entries with another known date of birth
     are out, those with the same one are 2 nearer, the caps looking at names alone."""
     l, f = _keys(first_optional, last, first)  # noqa: E741
-    names = pages.select(roll, l.alias("_l"), f.alias("_f"), *carry).distinct()
+    names = pages.select(roll, l.alias("_l"), f.alias("_f"), *carry).distinct().withColumn("_lb", _letters(F.col("_l"))).withColumn("_fb", _letters(F.col("_f")))
     if "imiddle" not in index.columns:
         index = index.withColumn("imiddle", F.lit(""))
     if dob:
         index = index.withColumnRenamed("dob", "_idob")
-    joined = names.join(index.select(roll, "ilast", "ifirst", "imiddle", "pos", *(["_idob"] if dob else []), *(c for c in index.columns if visible is not None and c not in (roll, "ilast", "ifirst", "imiddle", "pos", "_idob", *carry))), roll)
+    index = index.withColumn("_ilb", _letters(F.col("ilast"))).withColumn("_ifb", _letters(F.col("ifirst")))
+    joined = spread(names, roll).join(index.select(roll, "ilast", "ifirst", "imiddle", "pos", "_ilb", "_ifb", *(["_idob"] if dob else []), *(c for c in index.columns if visible is not None and c not in (roll, "ilast", "ifirst", "imiddle", "pos", "_idob", "_ilb", "_ifb", *carry))), roll)
     if visible is not None:
         joined = joined.where(visible)
     joined = joined.where(F.col("_l") != "" if first_optional else (F.col("ifirst") != ""))
+    # The letters rule most pairs out before any distance is worked out.
+    differ = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+    firsts = differ("_fb", "_ifb")
+    alike = differ("_lb", "_ilb") + (F.when(F.col("_f") == "", 0).otherwise(firsts) if first_optional else firsts) <= 2 * caps[2]
+    if swap:
+        alike |= differ("_fb", "_ilb") + differ("_lb", "_ifb") <= 2 * caps[2]
+    joined = joined.where(alike)
     d_last = _within(F.col("_l"), F.col("ilast"), caps[0])
     if first_optional:
         dist = d_last + F.when(F.col("_f") == "", 0).otherwise(_within(F.col("_f"), F.col("ifirst"), caps[1]))
@@ -60,12 +79,18 @@ def candidates(pages: DataFrame, index: DataFrame, roll: str, last: str, first:
     if dob:
         known = (F.coalesce(dob, F.lit("")) != "") & (F.coalesce("_idob", F.lit("")) != "")
         joined = joined.where(~known | (F.col(dob) == F.col("_idob"))).withColumn("_b", F.col("_b") - F.when(known, 2).otherwise(0))
-    return joined.select(roll, "_l", "_f", *carry, F.struct(F.col("_b").alias("dist"), "pos", swapped.alias("swapped"), "ilast", "ifirst", "imiddle").alias("cand"))
+    found = lambda dist, turned: F.struct(dist.alias("dist"), "pos", turned.alias("swapped"), "ilast", "ifirst", "imiddle")
+    extra = []
+    if strict:
+        inside = (d_last <= strict[0]) & (F.col("_d") - d_last <= strict[1]) & (F.col("_d") <= strict[2])
+        extra = [F.when(inside, found(F.col("_d"), F.lit(False))).alias("near")]
+    return joined.select(roll, "_l", "_f", *carry, found(F.col("_b"), swapped).alias("cand"), *extra)
 
 
 def nearest(pages: DataFrame, index: DataFrame, roll: str, last: str, first: str, carry: tuple[str, ...] = (), **options) -> DataFrame:
-    """The pages with ``snap``, the best candidate (least distance, then first in the index, then not swapped), null if none."""
-    best = candidates(pages, index, roll, last, first, carry=carry, **options).groupBy(roll, "_l", "_f", *carry).agg(F.min("cand").alias("snap"))
+    """The pages with ``snap``, the best candidate (least distance, then first in the index, then not swapped), null if none; with ``strict``, also ``near``, the best within those caps."""
+    best = candidates(pages, index, roll, last, first, carry=carry, **options).groupBy(roll, "_l", "_f", *carry)
+    best = best.agg(F.min("cand").alias("snap"), *([F.min("near").alias("near")] if options.get("strict") else []))
     l, f = _keys(options.get("first_optional", False), last, first)  # noqa: E741
     own = pages.withColumn("_l", l).withColumn("_f", f)
     return own.join(best, [roll, "_l", "_f", *carry], "left")

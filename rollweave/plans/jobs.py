@@ -61,8 +61,9 @@ def student_window(pages: DataFrame) -> DataFrame:
 def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
     """Packets of all rolls: roll_id, packet_no, packet_id, last, first, middle, their raw forms, frames, pages, avg_confidence, flagged, snap_applied, snap_distance."""
     own = student_window(flat_pages(pages))
-    own = kept(snap.nearest(own, index, "roll_id", "last", "first", caps=(3, 3, 4), swap=True).drop("_l", "_f"))
+    own = snap.nearest(own, index, "roll_id", "last", "first", caps=(3, 3, 4), swap=True, strict=(2, 2, 3)).drop("_l", "_f")
     if options.mode == "index":
+        own = kept(own.drop("near"))
         own = own.withColumn("snap", F.when(has_name(F.col("last"), F.col("first")), F.col("snap")))
         made = packets.index_buckets(own.drop("last", "first", "middle"), "roll_id", "frame", "confidence", options.threshold, options.min_bucket)
         if options.fallback:
@@ -77,7 +78,7 @@ def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> D
     known = index.select("roll_id").distinct().withColumn("_index", F.lit(True))
     own = own.join(known, "roll_id", "left").withColumn("_key", packets.boundary_key(F.col("last"), F.col("first"), F.col("snap"), F.coalesce("_index", F.lit(False))))
     own = packets.islands(own, "roll_id", "frame", F.col("_key"))
-    made = packets.merge_to_fixpoint(own, "roll_id", "frame_no", "last", "first", index=index, confidence="confidence", threshold=options.threshold, middle="middle", frame="frame", merge=options.merge, keep=kept)
+    made = packets.merge_to_fixpoint(own, "roll_id", "frame_no", "last", "first", confidence="confidence", threshold=options.threshold, middle="middle", frame="frame", merge=options.merge, near="near")
     return made.select(*PACKET)
 
 
