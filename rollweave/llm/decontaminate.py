@@ -6,9 +6,9 @@ words inside any occurrence of a window are hit. A document whose hit words reac
 
 Once built, an automaton is frozen into flat arrays: a state's first transition, link and length are 4-byte integers, and only further transitions stand in a
 dictionary. That takes some BYTES_A_WORD bytes a word of the benchmark in each worker, so that a block of BLOCK_WORDS words is bounded by some 160 MB. Items are
-taken in such blocks, read one after the other. Documents are scanned once for each block, and only if there are several blocks are the hits put together by a
-shuffle, and joined back to the rows. A block's broadcast lives as long as the DataFrame that scans it: Spark drops it once the plan is no longer
-referred to. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
+taken in such blocks, read one after the other. With one block the documents are scanned once, and nothing is shuffled. With several a sieve comes first: the hashes of all
+windows, 8 bytes each, for SIFT_WORDS words at a time. Documents of which no window's hash is in it can't be hit; the others, few in a corpus, are stored, and only they are scanned
+by each block's automaton, whose broadcast is dropped behind the scan. Their hits are joined back to all rows. Each document is handled alone, as a whole. A null or empty text has no words and no hits; null items and items without
 words have no windows; repeated items are found under each of their ids; an empty benchmark hits nothing. Repeated rows are rows like others, and
 further columns of any name don't matter.
 """
@@ -18,16 +18,21 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_BYTES, batch_type, words
+from .common import WORD_BYTES, Scratch, batch_type, words
 
 WINDOW = 13
 #: A document is contaminated if SHARE * n_hit >= n_words.
 SHARE = 20
 BLOCK_WORDS = 400_000
+#: Words of the benchmark in one sieve, which takes 160 MB in a worker.
+SIFT_WORDS = 20_000_000
 #: Measured on random words, the worst case: vocabulary, states and item lists.
 BYTES_A_WORD = 400
 
@@ -145,6 +150,57 @@ class SuffixAutomaton:
         return spans, found
 
 
+def gram_hashes(tokens: Sequence[bytes], n: int) -> np.ndarray:
+    """64-bit hashes of all n words that follow each other."""
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+    out = np.zeros(max(len(tokens) - n + 1, 0), np.uint64)
+    for k in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + one[k : k + len(out)]
+    return out
+
+
+class Sieve:
+    """Sorted hashes of an item list's windows, by their words."""
+
+    def __init__(self, grams: dict[int, list[np.ndarray]]):
+        self.grams = {n: np.unique(np.concatenate(parts)) for n, parts in grams.items()}
+
+    def holds(self, tokens: Sequence[bytes]) -> bool:
+        """Whether some window may occur; False is certain."""
+        for n, known in self.grams.items():
+            own = gram_hashes(tokens, n)
+            if own.size and (known[np.minimum(np.searchsorted(known, own), known.size - 1)] == own).any():
+                return True
+        return False
+
+
+def sieves(benchmark: DataFrame, text: str, window: int, most: int) -> Iterator[Sieve]:
+    """Sieves of at most so many words each (or of one longer item)."""
+    grams: dict[int, list[np.ndarray]] = {}
+    size = 0
+    for (value,) in benchmark.select(F.col(text).cast("string")).toLocalIterator():
+        if tokens := words(value):
+            if grams and size + len(tokens) > most:
+                yield Sieve(grams)
+                grams, size = {}, 0
+            n = min(window, len(tokens))
+            grams.setdefault(n, []).append(gram_hashes(tokens, n))
+            size += len(tokens)
+    yield Sieve(grams)
+
+
+def sift(docs: DataFrame, key: str, text: str, sieve) -> DataFrame:
+    """(key, text, _fp) of the documents that the broadcast sieve holds."""
+
+    def run(batches):
+        own = sieve.value
+        for batch in batches:
+            yield batch.filter(pa.array([own.holds(words(value.as_py())) for value in batch[1]], pa.bool_()))
+
+    given = docs.select(F.col(key), F.col(text).cast("string").alias(text), _fingerprint(text).alias("_fp"))
+    return given.mapInArrow(run, given.schema)
+
+
 def blocks(benchmark: DataFrame, item: str, text: str, most: int) -> Iterator[list[tuple[object, list[bytes]]]]:
     """The items with words, in blocks of at most so many words (or of one longer item)."""
     block, size = [], 0
@@ -162,9 +218,8 @@ def _fingerprint(text: str) -> Column:
     return F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
 
 
-def scan_block(docs: DataFrame, key: str, text: str, block, window: int, marked: bool = False) -> DataFrame:
-    """(key, _fp, _n_words, _starts, _ends, _items): the spans hit by this block's items, whose ids are strings. _fp is null unless marked."""
-    automaton = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton([("" if k is None else str(k), t) for k, t in block], window))
+def scan_block(docs: DataFrame, key: str, text: str, automaton, marked: bool = False) -> DataFrame:
+    """(key, _fp, _n_words, _starts, _ends, _items): the spans hit by the items of a broadcast automaton, whose ids are strings. _fp is null unless marked."""
     kind = dict(docs.dtypes)[key]
     names = [key, "_fp", "_n_words", "_starts", "_ends", "_items"]
 
@@ -187,6 +242,10 @@ def scan_block(docs: DataFrame, key: str, text: str, block, window: int, marked:
     return docs.select(F.col(key), F.col(text).cast("string"), mark.alias("_fp")).mapInArrow(run, schema)
 
 
+def _automaton(docs: DataFrame, block, window: int):
+    return docs.sparkSession.sparkContext.broadcast(SuffixAutomaton([("" if k is None else str(k), t) for k, t in block], window))
+
+
 def _union_spans(spans: Column) -> Column:
     """Sorted spans (_starts, _ends), those that touch or overlap made one."""
     pair = lambda a, b: F.struct(a.alias("_starts"), b.alias("_ends"))
@@ -201,20 +260,31 @@ def _union_spans(spans: Column) -> Column:
     )
 
 
-def _hits(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int, block_words: int) -> DataFrame:
-    """As scan_block, over all blocks: a row for each row of docs. With several blocks, _fp is set."""
+def _hits(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int, block_words: int, sift_words: int = SIFT_WORDS) -> DataFrame:
+    """As scan_block, over all blocks: a row for each row of docs. With several blocks, _fp is set, and jobs run as this is called."""
     todo = blocks(benchmark, item, item_text, block_words)
     block, more = next(todo), next(todo, None)
     if more is None:
-        return scan_block(docs, key, text, block, window)
-    found = scan_block(docs, key, text, block, window, True)
-    while more is not None:
-        found, more = found.unionByName(scan_block(docs, key, text, more, window, True)), next(todo, None)
-    grouped = found.groupBy(key, "_fp").agg(F.max("_n_words").alias("_n_words"), F.flatten(F.collect_set(F.arrays_zip("_starts", "_ends"))).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("_items"))
-    grouped = grouped.withColumn("_spans", _union_spans(F.col("_spans")))
-    grouped = grouped.select(F.col(key).alias("_gkey"), F.col("_fp").alias("_gfp"), "_n_words", F.col("_spans")["_starts"].alias("_starts"), F.col("_spans")["_ends"].alias("_ends"), "_items")
-    rows = docs.select(F.col(key), _fingerprint(text).alias("_fp"))
-    return rows.join(grouped, (F.col("_fp") == F.col("_gfp")) & F.equal_null(F.col(key), F.col("_gkey"))).drop("_gkey", "_gfp")
+        return scan_block(docs, key, text, _automaton(docs, block, window))
+    spark = docs.sparkSession
+    scratch, found = Scratch(spark, "contamination"), []
+    for k, sieve in enumerate(sieves(benchmark, item_text, window, sift_words)):
+        shared = spark.sparkContext.broadcast(sieve)
+        found.append(scratch.put(sift(docs, key, text, shared), f"sifted-{k}"))
+        shared.destroy()
+    sifted = found[0] if len(found) == 1 else scratch.put(reduce(DataFrame.unionByName, found).dropDuplicates([key, "_fp"]), "sifted")
+    found = []
+    while block is not None:
+        shared = _automaton(docs, block, window)
+        found.append(scratch.put(scan_block(sifted, key, text, shared, True).where(F.size("_items") > 0), f"found-{len(found)}"))
+        shared.destroy()
+        block, more = more, next(todo, None)
+    hits = reduce(DataFrame.unionByName, found)
+    grouped = hits.groupBy(F.col(key).alias("_gkey"), F.col("_fp").alias("_gfp")).agg(_union_spans(F.flatten(F.collect_set(F.arrays_zip("_starts", "_ends")))).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("_found"))
+    n_words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")).cast("long")
+    rows = docs.select(F.col(key), _fingerprint(text).alias("_fp"), n_words.alias("_n_words")).join(grouped, (F.col("_fp") == F.col("_gfp")) & F.equal_null(F.col(key), F.col("_gkey")), "left")
+    side = lambda c: F.coalesce(F.col("_spans")[c], F.array().cast("array<int>")).alias(c)
+    return rows.select(key, "_fp", "_n_words", side("_starts"), side("_ends"), F.coalesce("_found", F.array().cast("array<string>")).alias("_items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -275,6 +275,29 @@ def test_remove_spans(spark, edge_docs, edge_rows, no_docs, most):
     assert dc.remove_spans(no_docs, bench, block_words=most).collect() == []
 
 
+def test_sieves_miss_nothing(spark, edge_docs, edge_rows, monkeypatch):
+    text = edge_rows[22][1].split()
+    items = [(k, " ".join(text[at : at + n])) for k, (at, n) in enumerate([(0, 40), (7, 5), (30, 13), (100, 90), (3, 1)])] + [(9, "ünïcode ☃ ünïcode"), (10, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(dc._hits, "__defaults__", (30,))
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert len(list(dc.sieves(bench, "text", 13, 30))) > 2
+    out = dc.contamination(edge_docs, bench, block_words=20).select(*columns).collect()
+    assert sorted(map(tuple, out), key=str) == brute_contamination(edge_rows, [x for x in items if x[1]])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abc", max_size=12), min_size=1, max_size=5), st.text("abcd", max_size=40), st.integers(1, 5))
+def test_sieve_holds_what_the_automaton_finds(items, text, window):
+    split = lambda t: [c.encode() for c in t]
+    grams = {}
+    for t in items:
+        if n := min(window, len(t)):
+            grams.setdefault(n, []).append(dc.gram_hashes(split(t), n))
+    found = dc.SuffixAutomaton([(str(k), split(t)) for k, t in enumerate(items)], window).scan(split(text))[1]
+    assert dc.Sieve(grams).holds(split(text)) == bool(found)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("abc", max_size=12), min_size=1, max_size=5), st.text("abcd", max_size=40), st.integers(1, 5))
 def test_automaton_finds_all_windows(items, text, window):
