@@ -118,7 +118,7 @@ def _fixtures(spark: SparkSession, path: str) -> DataFrame:
 def replay(spark: SparkSession, a) -> int:
     fixtures = _fixtures(spark, a.fixtures_file)
     blocks = records.read_blocks(spark, a.responses_dir).cache()
-    out = extract.extract(fixtures, blocks, "label", "expected_class", "roll", "seq", a.visibility)
+    out = extract.extract(fixtures, blocks, "label", "expected_class", "roll", "seq", a.visibility, jobs.kept)
     return _scored(spark, a, out, False)
 
 
@@ -129,7 +129,7 @@ def extract_pipeline(spark: SparkSession, a) -> int:
     asked = bool(a.queries_file and records.read_queries(spark, a.queries_file))
     own = fixtures.join(classes, "label", "left").withColumn("page_class", F.coalesce("page_class", F.lit("unknown"))).withColumn("spend_usd", extract.routed_price(F.col("page_class"), asked))
     own = report.within_budget(own.withColumn("_run", F.lit(1)), ["_run"], "seq", "spend_usd", a.budget_ceiling).drop("_run", "spent_before")
-    return _scored(spark, a, extract.extract(own, blocks, "label", "page_class", "roll", "seq", a.visibility), True)
+    return _scored(spark, a, extract.extract(own, blocks, "label", "page_class", "roll", "seq", a.visibility, jobs.kept), True)
 
 
 def bake_off(spark: SparkSession, a) -> int:

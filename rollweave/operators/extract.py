@@ -5,6 +5,8 @@ Relationships, Query, Geometry. Every step is a join or an aggregate by page, an
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import PRICES, blank, clean_name, either_contains, folded, index_rows, price, ratio, strip, strip_title, text, token_cost, valid_name
@@ -103,19 +105,21 @@ def index_from_tables(blocks: DataFrame, page: str) -> DataFrame:
     return rows.select(page, "table", "r", *(value(f) for f, _ in b.HINTS)).where("last <> '' or first <> ''")
 
 
-def extract(pages: DataFrame, blocks: DataFrame, page: str, page_class: str, roll: str, seq: str, visibility: str = "prefix") -> DataFrame:
+def extract(pages: DataFrame, blocks: DataFrame, page: str, page_class: str, roll: str, seq: str, visibility: str = "prefix", keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """One wide row per page. Index pages get index_rows_added; covers the candidates, the vote, and, for a vote of one word, the entry of the roll's index that is
-    nearest by last name; other pages neither. visibility: prefix (entries of pages earlier in the roll) or roll (all of them)."""
+    nearest by last name; other pages neither. visibility: prefix (entries of pages earlier in the roll) or roll (all of them). keep: stores what several steps read (entries, candidates, votes), so that blocks are resolved
+    once for each, not for every step."""
     if visibility not in ("prefix", "roll"):
         raise ValueError(f"unknown visibility {visibility}")
     kind = F.col(page_class)
     ids = lambda c: pages.where(kind == c).select(page, roll, seq)
-    entries = index_from_tables(blocks, page).join(ids("student_records_index"), page)
+    own = lambda of: blocks.join(of.select(page).distinct(), page, "left_semi")  # noqa: E731  blocks of other pages aren't resolved
+    entries = keep(index_from_tables(own(ids("student_records_index")), page).join(ids("student_records_index"), page))
     added = entries.groupBy(page).agg(F.count("*").alias("index_rows_added"))
     covers = ids("student_cover")
-    found = candidates(covers, blocks, page)
+    found = keep(candidates(covers, own(covers), page))
     listed = found.groupBy(page).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "source", "raw", "conf"))), lambda x: F.struct(x["source"].alias("source"), x["raw"].alias("raw"), x["conf"].alias("conf"))).alias("candidate_sources"))
-    votes = vote_names(found, page)
+    votes = keep(vote_names(found, page))
     index = entries.select(roll, F.upper("last").alias("ilast"), F.upper("first").alias("ifirst"), F.col("middle").alias("imiddle"), F.struct(F.col(seq).alias("seq"), "table", "r").alias("pos"), F.col("dob").alias("_dob"))
     single = covers.join(votes, page).where(~F.contains("vote_name", F.lit(" "))).select(page, roll, seq, "vote_name", F.lit("").alias("_none"))
     seen = F.col("pos.seq") < F.col(seq) if visibility == "prefix" else F.lit(True)

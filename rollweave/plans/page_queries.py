@@ -258,7 +258,7 @@ def extracted_pages(spark, d):
     page = F.col("page")
     kinds = F.when(page % 3 == 0, "student_records_index").when(page % 3 == 1, "student_cover").otherwise("roll_leader")
     own = t(spark, d, "part").select(F.col("p_size").alias("page")).distinct().select("page", kinds.alias("page_class"), F.lit("R").alias("roll"), page.alias("seq"))
-    out = extract.extract(own, both, "page", "page_class", "roll", "seq")
+    out = extract.extract(own, both, "page", "page_class", "roll", "seq", keep=jobs.kept)
     return out.select("page", "page_class", "index_rows_added", "vote_name", F.col("candidate_sources").isNotNull().alias("has_candidates"))
 
 
