@@ -27,11 +27,12 @@ def latest(blocks: DataFrame, page: str) -> DataFrame:
     return blocks.where("Id is not null").withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def resolve(blocks: DataFrame, page: str) -> DataFrame:
-    """The blocks with what their relationships lead to: words (the texts of the WORD children, in order), answer (text and conf of the first block that answers) and
-    value (the words of the last VALUE block). Ids that lead nowhere are ignored. One join for the first level, one for the values of keys."""
+def resolve(blocks: DataFrame, page: str, of: Column | None = None) -> DataFrame:
+    """The blocks (those for which ``of`` holds) with what their relationships lead to: words (the texts of the WORD children, in order), answer (text and conf of the first block that answers) and
+    value (the words of the last VALUE block). Ids that lead nowhere are ignored. One join for the first level, none for the values of keys. Blocks are often exploded from a few columns, and
+    Spark then takes them for no larger than those, so its joins are kept from sending one side through the driver."""
     own = latest(blocks, page).select(page, F.col("Id").alias("child"), F.col("BlockType").alias("_kind"), text(F.col("Text")).alias("_text"), F.coalesce("Confidence", F.lit(0.0)).alias("_conf"))
-    links = b.edges(blocks, page).distinct().join(own, [page, "child"])
+    links = b.edges(blocks, page).distinct().join(own.hint("merge"), [page, "child"])
     kind = F.col("type")
     words = F.array_sort(F.collect_list(F.when((kind == "CHILD") & (F.col("_kind") == "WORD"), F.struct("ord", strip(F.col("_text")).alias("w")))))
     first = links.groupBy(page, F.col("parent").alias("Id")).agg(
@@ -39,39 +40,45 @@ def resolve(blocks: DataFrame, page: str) -> DataFrame:
         F.min(F.when(kind == "ANSWER", F.struct("ord", F.col("_text").alias("text"), F.col("_conf").alias("conf")))).alias("answer"),
         F.max(F.when(kind == "VALUE", F.struct("ord", "child"))).alias("_value"),
     )
-    values = first.where("_value is not null").select(page, F.col("Id").alias("_parent"), F.col("_value.child").alias("Id"))
-    values = values.join(first.select(page, "Id", F.col("words").alias("value")), [page, "Id"]).select(page, F.col("_parent").alias("Id"), "value")
-    return blocks.join(first.drop("_value"), [page, "Id"], "left").join(values, [page, "Id"], "left").withColumn("words", text(F.col("words"))).withColumn("value", text(F.col("value")))
+    # Each block stands under its own id and, if it has a value, under the value's, where it finds the words.
+    twice = F.array(F.struct(F.col("Id").alias("_at"), F.lit(False).alias("_asks")), F.struct(F.coalesce("_value.child", "Id").alias("_at"), F.lit(True).alias("_asks")))
+    value = F.max(F.when(~F.col("_asks"), F.col("words"))).over(Window.partitionBy(page, "_at"))
+    first = first.select("*", F.inline(twice)).withColumn("value", F.when(F.col("_value").isNotNull(), value)).where("_asks").select(page, "Id", "words", "answer", "value")
+    asked = blocks if of is None else blocks.where(of)
+    return asked.join(first.hint("merge"), [page, "Id"], "left").withColumn("words", text(F.col("words"))).withColumn("value", text(F.col("value")))
 
 
 def candidates(pages: DataFrame, blocks: DataFrame, page: str, anchor: str = "LAST", skip: tuple[str, ...] = b.LABEL_WORDS) -> DataFrame:
-    """(page, pos, source, raw, conf): six rows for each page of ``pages``, blank at confidence 0 where a source has nothing. One aggregate over a page's resolved blocks:
+    """(page, pos, source, raw, conf): six rows for each page of ``pages``, blank at confidence 0 where a source has nothing. Aggregates by page, and one join of words with their page's anchor: no page is gathered whole.
 
     forms_name (A19): the value of the surest key that speaks of a name and not of a parent's. forms_bbox (J11): the word to the right of the first word that is the anchor, at a fixed
     confidence; only that word counts, even if it has no box. queries_* (A20): the first answer of the alias's first question that has one. detect_first (A21): the first line that is a valid name."""
-    own = resolve(blocks, page)
     kind, conf, upper = F.col("BlockType"), F.coalesce("Confidence", F.lit(0.0)), F.upper("words")
     box = F.col("Geometry.BoundingBox")
     other = F.exists(F.array(*map(F.lit, OTHERS)), lambda o: F.contains(upper, o))
-    named = (kind == "KEY_VALUE_SET") & F.coalesce(F.array_contains("EntityTypes", "KEY"), F.lit(False)) & F.contains(upper, F.lit("NAME")) & ~other & (F.col("value") != "") & (conf > 0)
+    is_key = (kind == "KEY_VALUE_SET") & F.coalesce(F.array_contains("EntityTypes", "KEY"), F.lit(False))
+    named = is_key & F.contains(upper, F.lit("NAME")) & ~other & (F.col("value") != "") & (conf > 0)
     line = strip(F.col("Text"))
     is_word = kind == "WORD"
     first = lambda when, *order_and_rest: F.min(F.when(when, F.struct(*order_and_rest)))
-    found = own.groupBy(page).agg(
+    asked = resolve(blocks, page, is_key | (kind == "QUERY")).groupBy(page).agg(
         first(named, (-conf).alias("o"), "block_pos", F.col("value").alias("raw"), conf.alias("conf")).alias("forms_name"),
         *(first((kind == "QUERY") & (F.col("Query.Alias") == alias) & F.col("answer").isNotNull(), F.col("block_pos").alias("o"), F.col("answer.text").alias("raw"), F.col("answer.conf").alias("conf")).alias(source) for alias, source in ALIASES.items()),
-        first((kind == "LINE") & valid_name(line), F.col("block_pos").alias("o"), line.alias("raw"), conf.alias("conf")).alias("detect_first"),
-        first(is_word & (F.upper(line) == anchor.upper()), F.col("block_pos").alias("id"), box.alias("box")).alias("_anchor"),
-        F.collect_list(F.when(is_word & (line != "") & box.isNotNull() & ~F.upper(line).isin(*skip), F.struct(F.col("block_pos").alias("id"), line.alias("raw"), box.alias("box")))).alias("_words"),
     )
+    lines = blocks.where((kind == "LINE") & valid_name(line)).groupBy(page).agg(F.min(F.struct(F.col("block_pos").alias("o"), line.alias("raw"), conf.alias("conf"))).alias("detect_first"))
+    anchors = blocks.where(is_word & (F.upper(line) == anchor.upper())).groupBy(page).agg(F.min(F.struct(F.col("block_pos").alias("id"), box.alias("box"))).alias("_anchor"))
+    words = blocks.where(is_word & (line != "") & box.isNotNull() & ~F.upper(line).isin(*skip)).select(page, F.col("block_pos").alias("id"), line.alias("raw"), box.alias("box"))
     at = F.col("_anchor.box")
-    gap = lambda w: w["box"]["Left"] - (at["Left"] + at["Width"])
-    near = F.filter("_words", lambda w: (w["id"] != F.col("_anchor.id")) & (F.abs(w["box"]["Top"] - at["Top"]) <= at["Height"]) & gap(w).between(-0.005, 0.30))
-    found = found.withColumn("forms_bbox", F.array_min(F.transform(near, lambda w: F.struct(gap(w).alias("o"), w["id"].alias("id"), w["raw"].alias("raw"), F.lit(BOX_CONFIDENCE).alias("conf")))))
+    gap = F.col("box.Left") - (at["Left"] + at["Width"])
+    near = words.join(anchors.hint("merge"), page).where((F.col("id") != F.col("_anchor.id")) & (F.abs(F.col("box.Top") - at["Top"]) <= at["Height"]) & gap.between(-0.005, 0.30))
+    near = near.groupBy(page).agg(F.min(F.struct(gap.alias("o"), "id", "raw", F.lit(BOX_CONFIDENCE).alias("conf"))).alias("forms_bbox"))
+    found = pages.select(page, F.lit(True).alias("_there")).distinct()
+    for part in (asked, lines, near):
+        found = found.unionByName(part, allowMissingColumns=True)
+    found = found.groupBy(page).agg(F.max("_there").alias("_there"), *(F.first(c, ignorenulls=True).alias(c) for c in SOURCES)).where("_there")
     side = lambda s: F.struct(text(F.col(f"{s}.raw")).alias("raw"), F.coalesce(F.col(f"{s}.conf"), F.lit(0.0)).alias("conf"))
-    every = pages.select(page).distinct().join(found.select(page, *SOURCES), page, "left")
     listed = F.array(*(F.struct(F.lit(k).alias("pos"), F.lit(s).alias("source"), side(s).alias("c")) for k, s in enumerate(SOURCES)))
-    return every.select(page, F.inline(listed)).select(page, "pos", "source", "c.raw", "c.conf")
+    return found.select(page, F.inline(listed)).select(page, "pos", "source", "c.raw", "c.conf")
 
 
 def vote_names(found: DataFrame, page: str) -> DataFrame:

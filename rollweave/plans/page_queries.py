@@ -149,7 +149,7 @@ def fallback_union(spark, d):
 _Q = "case p_partkey % 3 when 0 then 'RECORD_NAME' when 1 then 'TOP_NAME' else 'FULL_NAME' end"
 
 
-def part_blocks(spark, d) -> DataFrame:
+def exploded_blocks(spark, d) -> DataFrame:
     """A page for each part size. Each part gives, in the order of its key: a key with its words and its value, a question (four of five answered), a line, a word with a box; every value's words
     stand under an id that is given twice, first with a wrong text, so that the last one has to count."""
     own = t(spark, d, "part")
@@ -183,8 +183,12 @@ def part_blocks(spark, d) -> DataFrame:
         block(10, n("b"), "WORD", text=F.when(k % 11 == 0, "Last").otherwise(words[0]), geometry=where),
         block(11, n("y"), "LAYOUT_TEXT"),
     ]
-    # Blocks are looked at from many sides, so they are kept, as a job keeps its parsed responses.
-    return own.select(F.col("p_size").alias("page"), F.explode(F.array(*made)).alias("b")).select("page", "b.*").cache()
+    return own.select(F.col("p_size").alias("page"), F.explode(F.array(*made)).alias("b")).select("page", "b.*")
+
+
+def part_blocks(spark, d) -> DataFrame:
+    """Blocks are looked at from many sides, so they are kept, as a job keeps its parsed responses."""
+    return exploded_blocks(spark, d).cache()
 
 
 _CAND = f"""pt as (select p_size as page, p_partkey as k, p_name, split_part(p_name, ' ', 1) as w1, split_part(p_name, ' ', 2) as w2, (p_partkey * 37 % 100)::double as conf, {_Q} as alias from part),
@@ -201,7 +205,7 @@ _CAND = f"""pt as (select p_size as page, p_partkey as k, p_name, split_part(p_n
 @query(f"with {_CAND} select page, pos, source, raw, conf from ca")
 def cover_candidates(spark, d):
     """Six candidates for each page, from a block graph."""
-    own = part_blocks(spark, d)
+    own = jobs.kept(exploded_blocks(spark, d))
     return extract.candidates(own, own, "page")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rollweave.__main__ import main
 from rollweave.operators import enrich, evaluate, extract
 from rollweave.operators.packets import edit_distance
-from rollweave.plans import jobs
+from rollweave.plans import jobs, page_queries
 from rollweave.sources import records
 
 STUDENT = ("student_cover", "student_test_sheet", "student_continuation")
@@ -296,6 +296,37 @@ def test_page_extraction(spark, tmp_path):
     assert extract.extract(pages.withColumn("seq", -F.col("seq")), blocks, "label", "page_class", "roll", "seq", "roll").where("snapped is not null").count() == 1
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_of_exploded_blocks(spark, tmp_path):
+    """Spark takes exploded blocks for as small as their source: no side of a join may go through the driver."""
+    rel = lambda kind, *ids: [{"Type": kind, "Ids": list(ids)}]
+    key = lambda i, word, value: {"Id": i, "BlockType": "KEY_VALUE_SET", "EntityTypes": ["KEY"], "Confidence": 50.0, "Relationships": rel("CHILD", word) + rel("VALUE", value)}
+    own = {
+        "both": [key("k1", "w1", "v"), key("k2", "w1", "v"), {"Id": "v", "BlockType": "KEY_VALUE_SET", "Relationships": rel("CHILD", "w2")}, {"Id": "w1", "BlockType": "WORD", "Text": "NAME"}, {"Id": "w2", "BlockType": "WORD", "Text": "Roe"}],
+        "lost": [key("k1", "w1", "gone"), {"Id": "w1", "BlockType": "WORD", "Text": "NAME"}],
+        "itself": [key("k1", "w1", "k1"), {"Id": "w1", "BlockType": "WORD", "Text": "NAME"}],
+        "other": blocks_of("Smyth"),
+    }
+    spark.createDataFrame([(k, json.dumps(v)) for k, v in own.items()], "label string, j string").write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw")).select("label", F.posexplode(F.from_json("j", f"array<{records.BLOCK}>")).alias("at", "b"))
+    blocks = raw.select("label", F.struct("at").alias("block_pos"), "b.*")
+    pages = spark.createDataFrame([("both",), ("lost",), ("itself",), ("empty",)], "label string")
+    made = extract.candidates(pages, blocks, "label")
+    assert "Broadcast" not in plan(made)
+    got = {(r["label"], r["source"]): (r["raw"], r["conf"]) for r in made.collect()}
+    assert len(got) == 24 and {k[0]: v for k, v in got.items() if k[1] == "forms_name"} == {"both": ("Roe", 50.0), "lost": ("", 0.0), "itself": ("NAME", 50.0), "empty": ("", 0.0)}
+    assert {v for k, v in got.items() if k[1] != "forms_name"} == {("", 0.0)}
+
+
+@pytest.mark.parametrize("name", ["cover_candidates"])
+def test_cover_queries_are_not_cached_or_broadcast(spark, name):
+    made = getattr(page_queries, name)(spark, "/root/testdata/sf0.001")
+    assert "Broadcast" not in plan(made) and "InMemoryTableScan" not in plan(made)
+
+
 def test_enrichment_seams(spark):
     by_value()
     rows = spark.createDataFrame([(1, bytearray(b"x"), ["detect"]), (2, bytearray(b"x"), ["forms", "queries"]), (3, bytearray(b"x"), []), (4, bytearray(b"x"), ["odd"])], "id int, content binary, features array<string>")
