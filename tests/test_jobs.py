@@ -321,7 +321,7 @@ def test_candidates_of_exploded_blocks(spark, tmp_path):
     assert {v for k, v in got.items() if k[1] != "forms_name"} == {("", 0.0)}
 
 
-@pytest.mark.parametrize("name", ["cover_candidates"])
+@pytest.mark.parametrize("name", ["cover_candidates", "cover_vote"])
 def test_cover_queries_are_not_cached_or_broadcast(spark, name):
     made = getattr(page_queries, name)(spark, "/root/testdata/sf0.001")
     assert "Broadcast" not in plan(made) and "InMemoryTableScan" not in plan(made)
