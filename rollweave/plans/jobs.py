@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalars import frame_number, has_name
+from ..functions.scalars import frame_number, frame_order, has_name
 from ..operators import evaluate, packets, snap
 from ..sources.records import STUDENT_CLASSES
 
@@ -47,9 +47,9 @@ def flat_pages(pages: DataFrame) -> DataFrame:
 def index_of(pages: DataFrame) -> DataFrame:
     """The rolls' indexes from their index pages, first seen by frame and row."""
     rows = pages.where("page_class = 'student_records_index'").select("roll_id", "frame", F.posexplode("index_rows").alias("at", "r"))
-    rows = rows.select("roll_id", F.col("r.last").alias("last"), F.col("r.first").alias("first"), F.col("r.middle").alias("middle"), F.col("r.dob").alias("dob"), F.struct("frame", "at").alias("pos"), "frame")
+    rows = rows.select("roll_id", F.col("r.last").alias("last"), F.col("r.first").alias("first"), F.col("r.middle").alias("middle"), F.col("r.dob").alias("dob"), F.struct(frame_order(F.col("frame")).alias("frame"), "at").alias("pos"), "frame")
     own = snap.roll_index(rows, "roll_id", "last", "first", "pos", "dob", "middle")
-    return own.withColumn("source_frame", F.col("pos.frame"))
+    return own.withColumn("source_frame", F.col("pos.frame.frame"))
 
 
 def student_window(pages: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollweave.__main__ import main
+from rollweave.functions.scalars import frame_order
 from rollweave.operators import enrich, evaluate, extract
 from rollweave.operators.packets import edit_distance
 from rollweave.plans import jobs, page_queries
@@ -203,6 +204,24 @@ def test_index_mode_is_the_plain_loop(pages, rolls, least, fallback):
     assert got == {own[0]["roll_id"]: x for own in rolls if (x := plain_by_index(own, least, fallback))}
 
 
+def grown(spark, tmp_path):
+    """A roll whose frames outgrow the width of their names, given in another order."""
+    own = [page("R", 8, "student_records_index", rows=[("DOE", "JANE", "")]), page("R", 12, "student_records_index", rows=[("ROE", "EVE", ""), ("DOE", "JANE", "")])]
+    own += [page("R", k, last=a, first=b) for k, a, b in ((9, "DOE", "JANE"), (10, "ROE", "EVE"), (11, "ROE", "EVE"), (13, "DOE", "JANE"))]
+    return records.read_pages(spark, write_pages(tmp_path / "grown.jsonl", [[{**p, "frame": p["frame"].lstrip("0")} for p in reversed(own)]]))
+
+
+def test_index_of_frames_of_two_widths(spark, tmp_path):
+    got = [(r["position"], r["last"], r["source_frame"]) for r in jobs.index_with_positions(jobs.index_of(grown(spark, tmp_path))).orderBy("position").collect()]
+    assert got == [(1, "DOE", "8"), (2, "ROE", "12")]
+
+
+def test_frames_of_one_width_are_sorted_as_names(spark):
+    names = ["00012", "00012a", "00013", "a0001", "", "00002"]
+    got = spark.createDataFrame([(n,) for n in names], "f string").orderBy(frame_order(F.col("f"))).collect()
+    assert [r["f"] for r in got] == sorted(names)
+
+
 def test_full_report(spark, tmp_path):
     """A roll with a known answer: a whole and a misread name, a nameless page, an unmatched packet and an unmatched truth."""
     rows = [page("ROLL 001", 1, "student_records_index", rows=[("Smith", "John", "Q"), ("Jones", "Mary", "")]), page("ROLL 001", 2, "roll_separator", marker="START")]
