@@ -48,9 +48,15 @@ def majority_name(pages: DataFrame, keys: list[str], last: str, first: str, midd
     return won.join(best, [*keys, "_l", "_f"], "left").select(*keys, F.col("_l").alias("last"), F.col("_f").alias("first"), F.coalesce("middle", F.lit("")).alias("middle"), "votes")
 
 
+def mean(c: str) -> Column:
+    """The mean, summed as decimals as the numbers are written, so that it doesn't depend on the order of the rows; as doubles if one doesn't fit."""
+    exact = F.col(c).try_cast("decimal(28,18)")
+    return F.when(F.count(exact) == F.count(c), F.avg(exact).cast("double")).otherwise(F.avg(c))
+
+
 def rollup(pages: DataFrame, keys: list[str], order: str, confidence: str, threshold: float) -> DataFrame:
     """A3-A5: pages, mean confidence, any under the threshold, frames in order."""
-    return pages.groupBy(*keys).agg(F.count("*").alias("n_pages"), F.avg(confidence).alias("avg_confidence"), (F.min(confidence) < threshold).alias("flagged"), F.array_sort(F.collect_list(order)).alias("frames"), F.min(order).alias("first_frame"))
+    return pages.groupBy(*keys).agg(F.count("*").alias("n_pages"), mean(confidence).alias("avg_confidence"), (F.min(confidence) < threshold).alias("flagged"), F.array_sort(F.collect_list(order)).alias("frames"), F.min(order).alias("first_frame"))
 
 
 def number(packets: DataFrame, roll: str, order: str) -> DataFrame:

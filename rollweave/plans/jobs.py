@@ -39,9 +39,9 @@ class Options:
 
 
 def flat_pages(pages: DataFrame) -> DataFrame:
-    """Page records with their names as columns, frames as numbers, and blanks for nulls."""
+    """Page records with their names as columns, frames as numbers and, in ``at``, as what they are sorted by, and blanks for nulls."""
     side = lambda c: F.coalesce(F.col(f"student.{c}"), F.lit("")).alias(c)
-    return pages.select("roll_id", "frame", frame_number(F.col("frame")).cast("long").alias("frame_no"), "page_class", F.col("separator.marker").alias("marker"), *map(side, ("last", "first", "middle", "dob")), F.col("confidence_name").alias("confidence"))
+    return pages.select("roll_id", "frame", frame_number(F.col("frame")).cast("long").alias("frame_no"), frame_order(F.col("frame")).alias("at"), "page_class", F.col("separator.marker").alias("marker"), *map(side, ("last", "first", "middle", "dob")), F.col("confidence_name").alias("confidence"))
 
 
 def index_of(pages: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def index_of(pages: DataFrame) -> DataFrame:
 def student_window(pages: DataFrame) -> DataFrame:
     """The student pages between a roll's first START and its last END. pages: flat."""
     mark = lambda m: (F.col("page_class") == "roll_separator") & F.coalesce(F.col("marker") == m, F.lit(False))
-    return packets.bracket(pages, "roll_id", "frame", mark("START"), mark("END")).where(F.col("page_class").isin(*STUDENT_CLASSES))
+    return packets.bracket(pages, "roll_id", "at", mark("START"), mark("END")).where(F.col("page_class").isin(*STUDENT_CLASSES))
 
 
 def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
@@ -65,11 +65,12 @@ def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> D
     if options.mode == "index":
         own = kept(own.drop("near"))
         own = own.withColumn("snap", F.when(has_name(F.col("last"), F.col("first")), F.col("snap")))
-        made = packets.index_buckets(own.drop("last", "first", "middle"), "roll_id", "frame", "confidence", options.threshold, options.min_bucket)
+        made = packets.index_buckets(own.drop("last", "first", "middle"), "roll_id", "at", "confidence", options.threshold, options.min_bucket)
         if options.fallback:
             # As the index decides, rolls without one have no packets at all.
             there = own.join(index.select("roll_id").distinct(), "roll_id", "left_semi")
-            made = packets.fallback_packets(there, made, "roll_id", "frame", "last", "first", "middle", "confidence", options.threshold, options.fallback)
+            made = packets.fallback_packets(there, made, "roll_id", "at", "last", "first", "middle", "confidence", options.threshold, options.fallback)
+        made = made.withColumn("frames", F.transform("frames", lambda x: x["frame"]))
         raw = {f"{c}_raw": F.col(c) for c in ("last", "first", "middle")}
         made = made.withColumns(raw).withColumn("snap_applied", F.col("max_distance").isNotNull()).withColumn("snap_distance", F.when(F.col("max_distance").isNotNull(), 0))
         return made.select(*PACKET[:7], F.col("n_pages").alias("pages"), *PACKET[8:], F.col("max_distance"))
@@ -77,7 +78,7 @@ def group(pages: DataFrame, index: DataFrame, options: Options = Options()) -> D
         raise ValueError(f"unknown mode {options.mode}")
     known = index.select("roll_id").distinct().withColumn("_index", F.lit(True))
     own = own.join(known, "roll_id", "left").withColumn("_key", packets.boundary_key(F.col("last"), F.col("first"), F.col("snap"), F.coalesce("_index", F.lit(False))))
-    own = packets.islands(own, "roll_id", "frame", F.col("_key"))
+    own = packets.islands(own, "roll_id", "at", F.col("_key"))
     made = packets.merge_to_fixpoint(own, "roll_id", "frame_no", "last", "first", confidence="confidence", threshold=options.threshold, middle="middle", frame="frame", merge=options.merge, near="near")
     return made.select(*PACKET)
 

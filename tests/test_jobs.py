@@ -3,13 +3,14 @@
 import json
 import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from rollweave.__main__ import main
 from rollweave.functions.scalars import frame_order
-from rollweave.operators import enrich, evaluate, extract
+from rollweave.operators import enrich, evaluate, extract, packets
 from rollweave.operators.packets import edit_distance
 from rollweave.plans import jobs, page_queries
 from rollweave.sources import records
@@ -216,6 +217,24 @@ def test_index_of_frames_of_two_widths(spark, tmp_path):
     assert got == [(1, "DOE", "8"), (2, "ROE", "12")]
 
 
+@pytest.mark.parametrize(("mode", "want"), [("index", [("DOE", ["9", "13"]), ("ROE", ["10", "11"])]), ("boundary", [("DOE", ["9"]), ("ROE", ["10", "11"]), ("DOE", ["13"])])])
+def test_packets_of_frames_of_two_widths(spark, tmp_path, mode, want):
+    own = grown(spark, tmp_path)
+    got = jobs.group(own, jobs.index_of(own), jobs.Options(mode=mode)).orderBy("packet_no").collect()
+    assert [(r["last"], r["frames"]) for r in got] == want
+
+
+def test_mean_confidence_is_exact(spark):
+    """A mean that ends in 5 is rounded the same way in whatever order its pages come."""
+    confs = [k % 50 / 50 for k in range(313)] + [0.98, 0.02, 0.06, 0.02, 0.02, 0.02, 0.02]
+    rows = [(seed, k, c) for seed in range(20) for k, c in enumerate(random.Random(seed).sample(confs, len(confs)))]
+    own = spark.createDataFrame([*rows, (99, 0, 1e300), (99, 1, 3e300)], "g int, k int, c double")
+    want = Fraction(sum(round(c * 50) for c in confs), 50 * len(confs))
+    assert want * 10**6 % 1 == Fraction(1, 2)
+    got = {r["g"]: r["avg_confidence"] for r in packets.rollup(own, ["g"], "k", "c", 0.7).collect()}
+    assert got.pop(99) == 2e300 and set(got.values()) == {float(want)}
+
+
 def test_frames_of_one_width_are_sorted_as_names(spark):
     names = ["00012", "00012a", "00013", "a0001", "", "00002"]
     got = spark.createDataFrame([(n,) for n in names], "f string").orderBy(frame_order(F.col("f"))).collect()
