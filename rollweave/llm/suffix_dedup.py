@@ -48,7 +48,11 @@ PIECE = 1_000_000
 
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
 _FACTORS = np.random.default_rng(20240301).integers(0, 1 << 64, GRAM.bit_length() - 1, np.uint64) | np.uint64(1)
-_PLACE = 28
+#: Bytes that are worked on at once, so that the arrays stay in a core's cache. The anchors don't depend on it.
+BLOCK = 1 << 15
+_LOW = np.uint64((1 << 16) - 1)
+#: Places in a block, downwards.
+_DOWN = _LOW - np.arange(BLOCK + SIDE, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,45 +70,59 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
     Sums of random table values times odd factors of their places, scrambled: hashes of one changed byte always differ.
     """
-    h, size = _TABLE[data], 1
-    for factor in _FACTORS:
-        ahead = h[size:]
-        h = h[:-size] * factor
-        h += ahead
-        size *= 2
-    return mix(h)
+    out = np.empty(max(0, len(data) - GRAM + 1), np.uint64)
+    for a in range(0, len(out), BLOCK):
+        h, size = _TABLE[data[a : a + BLOCK + GRAM - 1]], 1
+        for factor in _FACTORS:
+            ahead = h[size:]
+            h = h[:-size] * factor
+            h += ahead
+            size *= 2
+        out[a : a + BLOCK] = mix(h)
+    return out
+
+
+def _least_places(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of SIDE + 1 neighbouring grams: the first one of each run of windows whose least hash stands at one place, and that place."""
+    n = len(grams) - SIDE
+    begins, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, n, BLOCK):
+        # Least hash first, of equal ones the last place: places count in the low bits, downwards.
+        least = grams[a : a + BLOCK + SIDE] & ~_LOW
+        least |= _DOWN[: len(least)]
+        window = 1
+        while window * 2 <= SIDE + 1:
+            least = np.minimum(least[:-window], least[window:])
+            window *= 2
+        rest = SIDE + 1 - window
+        least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        begins.append(first + a)
+        places.append((_LOW - (least[first] & _LOW)).astype(np.int64) + a)
+    begin, place = np.concatenate(begins), np.concatenate(places)
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = place[1:] != place[:-1]
+    return begin[fresh], place[fresh]
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, gram, context) of every anchor; context is a hash of the bytes around it and of their number."""
+def anchors(texts: list[bytes], contexts: bool = True) -> tuple[np.ndarray, ...]:
+    """(text, place, gram, context) of every anchor; context is a hash of the bytes around it and of their number, left out if not asked for."""
     texts_long = [k for k, t in enumerate(texts) if len(t) >= LENGTH]
     if not texts_long:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * (1 + contexts)
     sizes = np.array([len(texts[k]) for k in texts_long], np.int64)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     data = np.frombuffer(b"".join(texts[k] for k in texts_long), np.uint8)
     grams = gram_hashes(data)
-    n = len(grams)
-    # Least hash first, of equal ones the last place: places count in the low bits, downwards.
-    low = np.uint64((1 << _PLACE) - 1)
-    key = (grams & ~low) | (low - (np.arange(n, dtype=np.uint64) & low))
-    window, least = 1, key
-    while window * 2 <= SIDE + 1:
-        least = np.minimum(least[:-window], least[window:])
-        window *= 2
-    rest = SIDE + 1 - window
-    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-    # Windows inside one text only.
-    begin = np.arange(len(least))
+    begin, place = _least_places(grams)
+    # Windows inside one text only. Windows of one place that begin behind a text's last one go on to the next text's first one, if they reach it.
     owner = np.searchsorted(ends, begin, "right")
-    inside = begin + LENGTH <= ends[owner]
-    begin, owner, least = begin[inside], owner[inside], least[inside]
-    ahead = (low - (least & low) - (begin.astype(np.uint64) & low)) & low
-    place = begin + ahead.astype(np.int64)
-    fresh = np.ones(len(place), bool)
-    fresh[1:] = place[1:] != place[:-1]
-    place, owner = place[fresh], owner[fresh]
+    outside = begin + LENGTH > ends[owner]
+    inside = ~outside | (ends[owner] < np.append(begin[1:], len(grams) - SIDE))
+    place, owner = place[inside], (owner + outside)[inside]
+    if not contexts:
+        return np.array(texts_long, np.int64)[owner], place - starts[owner], grams[place]
     from_, to = np.maximum(place - SIDE, starts[owner]), np.minimum(place + GRAM + SIDE, ends[owner])
     context = (place - from_).astype(np.uint64) * np.uint64(1000) + (to - place).astype(np.uint64)
     # GRAM-byte hashes at overlapping places cover the context.
@@ -137,7 +155,7 @@ def _grams(source: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch[0].to_pylist()
-            grams = np.concatenate([np.zeros(0, np.uint64), *(anchors(texts[a:b])[2] for a, b in _pieces(texts))])
+            grams = np.concatenate([np.zeros(0, np.uint64), *(anchors(texts[a:b], contexts=False)[2] for a, b in _pieces(texts))])
             grams, n = np.unique(grams, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
@@ -188,12 +206,12 @@ def _contexts(source: DataFrame, examples: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"part bigint, _key {kind}, _fp bigint, begin int, anchor int, data binary")
 
 
-def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Spans covered by ``length`` bytes from each of the sorted starts on."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > length)
-    return list(zip(starts[np.concatenate([[0], cut + 1])].tolist(), (starts[np.concatenate([cut, [len(starts) - 1]])] + length).tolist(), strict=True))
+def spans_of(starts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end) of the spans covered by ``length`` bytes from each of a text's sorted starts on."""
+    text, start = np.repeat(np.arange(len(starts)), [len(x) for x in starts]), np.concatenate([np.zeros(0, np.int64), *starts])
+    first = np.ones(len(start), bool)
+    first[1:] = (text[1:] != text[:-1]) | (start[1:] - start[:-1] > length)
+    return text[first], start[first], start[np.append(first[1:], True)[: len(start)]] + length
 
 
 def _indexed(contexts: DataFrame, kind: str) -> DataFrame:
@@ -204,9 +222,9 @@ def _indexed(contexts: DataFrame, kind: str) -> DataFrame:
         known = sorted({k for k in keys if k is not None})
         rank = {k: i for i, k in enumerate(known)} | {None: len(known)}
         late = later_matches(texts, np.array([rank[k] for k in keys]), np.array(begins), LENGTH)
-        rows = [(k, fp, at + a, at + b) for k, fp, at, found in zip(keys, fps, begins, late, strict=True) for a, b in spans_of(found, LENGTH)]
-        cols = list(zip(*rows, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (batch_type(kind), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["_key", "_fp", "begin", "end"])
+        of, begin, end = spans_of(late, LENGTH)
+        at, of_row = np.array(begins)[of], pa.array(of)
+        return pa.RecordBatch.from_arrays([pa.array(keys, batch_type(kind)).take(of_row), pa.array(fps, pa.int64()).take(of_row), pa.array((at + begin).astype(np.int32)), pa.array((at + end).astype(np.int32))], names=["_key", "_fp", "begin", "end"])
 
     def sides(anchor, data):
         yield "before", data[anchor - CUT : anchor] if anchor >= CUT else None

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -96,3 +97,21 @@ def test_the_index_is_run_compressed():
     texts = [bytes(draw.choice(b"abcdefgh") for _ in range(150)) for _ in range(5)]
     few, many = run_index.RunIndex.of(texts), run_index.RunIndex.of(texts * 40)
     assert many.length == 40 * few.length and len(many.head) < 2 * len(few.head) + 2 * 200
+
+
+def test_anchors_match_a_plain_loop_in_little_memory():
+    draw = random.Random(6)
+    texts = [bytes(draw.choice(b"abcd") for _ in range(n)) for n in (99, 100, suffix_dedup.BLOCK + 120, 101, 168, 3_000)] + [b"ab" * 400]
+    want = []
+    for k, t in enumerate(texts):
+        grams = suffix_dedup.gram_hashes(np.frombuffer(t, np.uint8)).tolist()
+        least = [max(range(p, p + suffix_dedup.SIDE + 1), key=lambda q: (-(grams[q] >> 16), q)) for p in range(len(t) - suffix_dedup.LENGTH + 1)]
+        want += [(k, p, grams[p]) for p in sorted(set(least))]
+    for found in (suffix_dedup.anchors(texts), suffix_dedup.anchors(texts, contexts=False)):
+        assert list(zip(*(x.tolist() for x in found[:3]), strict=True)) == want
+    long = bytes(draw.choices(b"abcdefgh", k=1_000_000))
+    tracemalloc.start()
+    suffix_dedup.anchors([long])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * len(long)
