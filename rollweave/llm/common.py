@@ -20,6 +20,10 @@ BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: For scratch tables in a local folder. Without its native library Hadoop starts a ``chmod`` process for each file and each task's folder, and its default adds a checksum
+#: file with one more. Until such a process is on its way, all of the JVM's memory counts as its own too. Other stores don't read these options.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def words(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text as UTF-8; null has none."""
@@ -76,7 +80,7 @@ class Scratch:
         before = self.spark.conf.get(FILE_CLEANUP, "false")
         self.spark.conf.set(FILE_CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+            df.write.mode("overwrite").options(compression="snappy", **PLAIN_FILES).parquet(path)
         finally:
             self.spark.conf.set(FILE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
