@@ -183,6 +183,12 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: i
     return out.select(key, F.col("_base").alias("base"), F.array_sort(F.concat("_base", F.coalesce("_added", F.array().cast("array<struct<s:int,k:int,e:int>>")))).alias("all"))
 
 
+def counted(spans: str, kind: str):
+    """The number of spans of a kind. (Spark gives a second parameter of the lambda the element's index, even one with a default.)"""
+    k = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda x: x["k"] == k)).cast("long")
+
+
 def joined(spans: str):
     """kind:start:end, comma-joined."""
     kinds = F.array(*map(F.lit, KINDS))

@@ -5,7 +5,7 @@ import zlib
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from rollweave.llm import decontaminate as dc, licenses, media, pii, url_filter
+from rollweave.llm import decontaminate as dc, licenses, media, pii, queries, url_filter
 
 from .conftest import make_docs
 
@@ -532,3 +532,19 @@ def test_ip_scan_is_linear():
     began = time.time()
     assert pii.base_spans("1" * 400_000 + "....") == [] and pii.base_spans("1." * 200_000)[0] == (0, 1, 7)
     assert time.time() - began < 10
+
+
+def test_pii_query_counts_each_kind(spark, edge_rows, tmp_path):
+    """All exact columns of the query, against the contract read plainly."""
+    card, phone = "4111 1111 1111 1111", "+1 (555) 010-9999"
+    rows = [(100, "a@b.co"), (101, "a@b.co, c@d.eu and e@f.org"), (102, "1.2.3.4 then a@b.co"), (103, card), (104, f"é☃ {phone}; {phone}"), (105, f"{phone} {card} 1.2.3.4 a@b.co"), (105, "1.1.1.1 2.2.2.2 256.1.1.1")]
+    rows += edge_rows
+    make_docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for key, t in rows:
+        base = brute_pii(t or "")
+        digest = hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base).encode()).hexdigest()
+        want.append((key, *(sum(k == n for _, k, _ in base) for n in range(4)), digest))
+    got = queries.op10_pii(spark, str(tmp_path)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+    assert [kind for _, kind in got.dtypes] == ["bigint"] * 5 + ["string"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
